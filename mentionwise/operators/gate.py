@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentionwise.operators.running import running
+from mentionwise.operators.running import SLICE, running, slice_by
 
 TWEET, CONTROL = 1, 0
 
@@ -22,6 +22,9 @@ def decode_control(changes: DataFrame) -> DataFrame:
     )
 
 
+ARRIVAL = ["arrival", "kind", "id"]
+
+
 def control_state(
     mentions: DataFrame, control: DataFrame, slices: int | None = None
 ) -> DataFrame:
@@ -29,6 +32,7 @@ def control_state(
 
     As-of join by arrival order, the control first on a tie. Few teams hold
     all the rows, so this is a sliced running value, not a window per team.
+    The rows keep their arrival slices for the steps that follow.
     """
     rows = mentions.withColumn("kind", F.lit(TWEET)).unionByName(
         control.select(
@@ -38,11 +42,11 @@ def control_state(
         allowMissingColumns=True,
     )
     seen = running(
-        rows, ["src_team"], ["arrival", "kind", "id"],
-        {"allowed": ("last", F.col("control"))}, slices=slices,
+        slice_by(rows, ARRIVAL, slices), ["src_team"], ARRIVAL,
+        {"allowed": ("last", F.col("control"))},
     )
     return seen.where(F.col("kind") == TWEET).select(
-        *mentions.columns, F.coalesce("allowed", F.lit(False)).alias("allowed")
+        *mentions.columns, SLICE, F.coalesce("allowed", F.lit(False)).alias("allowed")
     )
 
 

@@ -2,11 +2,12 @@
 
 ``Window.partitionBy(key).orderBy(order)`` sends every row of a key to one
 task; with a handful of teams, or one global clock, that is the whole job.
-Here the rows are range-partitioned by ``(key, order)`` into slices of about
-equal size - a hot key simply covers many slices. Each slice is summarised,
-the summaries (one row per key and slice) are accumulated, and the running
-value of a row is its slice's carried-in value combined with the rows of its
-own slice.
+Here the rows are range-partitioned by their order into slices of about equal
+size, so a (key, slice) pair is bounded however hot the key is. Each pair is
+summarised, the summaries are accumulated per key, and the running value of a
+row is its slice's carried-in value combined with the rows of its own slice.
+
+Slices depend on the order only: steps that share an order share the slices.
 """
 
 from __future__ import annotations
@@ -16,10 +17,22 @@ from pyspark.sql import functions as F
 
 from mentionwise.session import freeze, shuffle_partitions
 
-_SLICE = "__slice"
+SLICE = "__slice"
 _ROW = "__is_row"
 
 
+def slice_by(df: DataFrame, order: list[str], slices: int | None = None) -> DataFrame:
+    """Add ``__slice``: contiguous ranges of ``order``, numbered upwards.
+
+    ``order`` should identify a row, so that equal leading values can still be
+    split. The result is written once to the shared scratch folder: range
+    bounds come from a sample, and every later pass must see the same slices.
+    """
+    slices = slices or shuffle_partitions(df.sparkSession)
+    ranged = df.repartitionByRange(slices, *order).withColumn(SLICE, F.spark_partition_id())
+    return freeze(ranged, "slices")
+
+
 def _summary(how: str, value: Column, order: list[str]) -> Column:
     if how == "max":
         return F.max(value)
@@ -65,31 +78,24 @@ def running(
     ``outputs`` maps a new column to ``(how, value)`` with ``how`` one of
     ``max``, ``last`` (last non-null), ``count`` (non-null) or ``set``
     (distinct strings). By default a row sees only the rows before it;
-    ``inclusive`` adds the row itself.
-
-    The sliced rows are written once to the shared scratch folder: the slice
-    summaries and the final pass must see the very same slices.
+    ``inclusive`` adds the row itself. Rows that carry slices of a compatible
+    order keep them; others are sliced here.
     """
-    spark = df.sparkSession
-    slices = slices or shuffle_partitions(spark)
-    inputs = {f"__in_{name}": value for name, (_, value) in outputs.items()}
-    ranged = (
-        df.withColumns(inputs)
-        .repartitionByRange(slices, *keys, *order)
-        .withColumn(_SLICE, F.spark_partition_id())
-    )
-    rows = freeze(ranged, "running")
+    if SLICE not in df.columns:
+        sliced = running(slice_by(df, order, slices), keys, order, outputs, inclusive)
+        return sliced.drop(SLICE)
 
-    summaries = rows.groupBy(*keys, _SLICE).agg(*[
+    rows = df.withColumns({f"__in_{name}": value for name, (_, value) in outputs.items()})
+    summaries = rows.groupBy(*keys, SLICE).agg(*[
         _summary(how, F.col(f"__in_{name}"), order).alias(f"__sum_{name}")
         for name, (how, _) in outputs.items()
     ])
     before = (
-        Window.partitionBy(*keys).orderBy(_SLICE)
+        Window.partitionBy(*keys).orderBy(SLICE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
     )
     seeds = summaries.select(
-        *keys, _SLICE, F.lit(0).alias(_ROW),
+        *keys, SLICE, F.lit(0).alias(_ROW),
         *[_carried(how, F.col(f"__sum_{name}"), before).alias(f"__seed_{name}")
           for name, (how, _) in outputs.items()],
     )
@@ -97,7 +103,7 @@ def running(
     # the seed row sorts first in its slice, so every row after it can read the carried value
     last_row = Window.currentRow if inclusive else Window.currentRow - 1
     here = (
-        Window.partitionBy(*keys, _SLICE).orderBy(_ROW, *order)
+        Window.partitionBy(*keys, SLICE).orderBy(_ROW, *order)
         .rowsBetween(Window.unboundedPreceding, last_row)
     )
     united = rows.withColumn(_ROW, F.lit(1)).unionByName(seeds, allowMissingColumns=True)

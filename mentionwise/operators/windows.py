@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from mentionwise.functions.columns import (
     athletes, crosses_teams, event_timestamp, first_username, names_text, window_text,
 )
-from mentionwise.operators.running import running
+from mentionwise.operators.running import SLICE, running, slice_by
 from mentionwise.schemas import (
     DELAY_SECONDS, HOP_SIZE_SECONDS, HOP_SLIDE_SECONDS, HOP_THRESHOLD, LATENESS_SECONDS,
     WINDOW_SECONDS,
@@ -129,15 +129,18 @@ def with_clock(
     """Add ``clock_key`` and ``clock_ms``, the clock each row met on arrival.
 
     ``clock`` is ``global`` (one clock, as with a single reader) or ``team``
-    (one per source team). ``start`` carries the clocks of earlier batches.
+    (one per source team). ``start`` carries the clocks of earlier batches. The
+    result keeps its arrival slices; rows from the batch gate have them already.
     """
     if clock not in ("global", "team"):
         raise ValueError(f"unknown clock {clock!r}")
     key = F.lit("all") if clock == "global" else F.coalesce("src_team", F.lit(""))
     keyed = mentions.withColumn("clock_key", key)
+    if SLICE not in keyed.columns:
+        keyed = slice_by(keyed, ["arrival", "id"], slices)
     clocked = running(
         keyed, ["clock_key"], ["arrival", "id"],
-        {"clock_ms": ("max", F.unix_millis("event_time"))}, slices=slices,
+        {"clock_ms": ("max", F.unix_millis("event_time"))},
     )
     if start is None:
         return clocked
@@ -179,9 +182,7 @@ def windowed_rows(classified: DataFrame) -> DataFrame:
     return classified.where(~F.col("late"))
 
 
-def windowed_rows_with_refires(
-    classified: DataFrame, slices: int | None = None
-) -> DataFrame:
+def windowed_rows_with_refires(classified: DataFrame) -> DataFrame:
     """As :func:`windowed_rows`, each row once per firing of its window.
 
     A row that came before the first firing is in that one and in all
@@ -190,7 +191,7 @@ def windowed_rows_with_refires(
     on_time = windowed_rows(classified)
     again = running(
         on_time.where("refire"), GROUP, ["arrival", "id"],
-        {"rank": ("count", F.lit(1))}, inclusive=True, slices=slices,
+        {"rank": ("count", F.lit(1))}, inclusive=True,
     )
     refires = again.groupBy(*GROUP).agg(F.max("rank").alias("refires"))
     rows = on_time.where(~F.col("refire")).withColumn("rank", F.lit(0).cast("bigint"))
@@ -225,7 +226,7 @@ def window_contents(classified: DataFrame, opened: DataFrame | None = None) -> D
 def firings(
     classified: DataFrame, delay: int = DELAY_SECONDS, threshold: int = 1,
     opened: DataFrame | None = None, start: DataFrame | None = None,
-    end: DataFrame | None = None, slices: int | None = None,
+    end: DataFrame | None = None,
 ) -> DataFrame:
     """Every result a window emits: its first firing and one revision per accepted later row.
 
@@ -254,11 +255,11 @@ def firings(
 
     again = classified.where(
         F.col("refire") & crosses_teams(F.col("src_team"), F.col("dst_team"))
-    ).select(*GROUP, "arrival", "id", "src_name")
+    ).select(*GROUP, "arrival", "id", "src_name", SLICE)
     revised = running(
         again, GROUP, ["arrival", "id"],
         {"more": ("count", F.lit(1)), "more_names": ("set", F.col("src_name"))},
-        inclusive=True, slices=slices,
+        inclusive=True,
     )
     later = _join_groups(revised, base).select(
         *GROUP,

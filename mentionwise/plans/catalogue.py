@@ -25,7 +25,7 @@ from mentionwise.operators.windows import (
 )
 from mentionwise.plans import jobs, workload
 from mentionwise.schemas import DATE_PARTS, HOP_COUNTS, TOTALS, TWEETS_TABLE
-from mentionwise.session import configure, scratch_path
+from mentionwise.session import configure, freeze, scratch_path
 from mentionwise.sinks.writers import (
     Landing, event_lines, notifications, run_available, write_batch, write_partitioned_json,
 )
@@ -48,9 +48,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 class Timing:
     """Seconds; wide, because the given events are minutes apart."""
 
-    window: int = 86_400
-    lateness: int = 7_200
-    delay: int = 3_600
+    window: int = 43_200
+    lateness: int = 5_400
+    delay: int = 1_800
     hop_size: int = 172_800
     hop_slide: int = 86_400
     # above the largest arrival lag, so that the watermark drops nothing
@@ -199,6 +199,7 @@ def _passed(spark, d):
 
 
 def _classified(spark, d, clock="global"):
+    """Mentions past the gate with their clock, window and flags."""
     return classify(with_clock(_passed(spark, d), clock), T.window, T.lateness, T.delay)
 
 
@@ -273,7 +274,7 @@ def tampering_final(spark, d):
 
 @query
 def tampering_revisions(spark, d):
-    return _readable(firings(_classified(spark, d), T.delay), "revision")
+    return _readable(firings(freeze(_classified(spark, d), "classified"), T.delay), "revision")
 
 
 @query
@@ -299,7 +300,7 @@ def windowed_events(spark, d):
 
 @query
 def windowed_events_with_refires(spark, d):
-    rows = windowed_rows_with_refires(_classified(spark, d))
+    rows = windowed_rows_with_refires(freeze(_classified(spark, d), "classified"))
     return rows.select("id", "src_team", "dst_name", "window_start",
                        F.col("firing").cast("bigint").alias("firing"))
 

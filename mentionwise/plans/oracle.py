@@ -37,7 +37,7 @@ tw AS (
   SELECT event_id, ts, id, arrival, event_ms, k,
          CASE WHEN event_id % 40 = 7 THEN 'ghost-' || user_id ELSE CAST(user_id AS VARCHAR) END AS account,
          CASE WHEN event_id % 40 = 11 THEN NULL WHEN event_id % 40 = 9 THEN 'Nobody#' || k
-              ELSE {_name('k')} END AS athlete,
+              ELSE {_name('k % 20')} END AS athlete,
          CASE WHEN event_id % 40 <> 11 THEN {_name('(k * 7 + 3) % 100')} END AS athlete2
   FROM ev WHERE event_type NOT IN ('signup', 'error')
 )"""

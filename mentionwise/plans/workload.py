@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mentionwise.functions.columns import date_parts
 from mentionwise.operators.ingest import plain_base64
@@ -19,8 +20,15 @@ from mentionwise.schemas import ANNOTATIONS
 MAX_LAG_SECONDS = 21_600
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def player_name(key: Column) -> Column:
@@ -70,7 +78,7 @@ def _annotations() -> Column:
     spoil = F.pmod("event_id", F.lit(40))
     other = _annotation(F.lit("3"), F.concat(F.lit("Show#"), F.col("k").cast("string")))
     first = F.when(spoil == 9, F.concat(F.lit("Nobody#"), F.col("k").cast("string"))).otherwise(
-        player_name(F.col("k"))
+        player_name(F.pmod("k", F.lit(20)))
     )
     second = player_name(F.pmod(F.col("k") * 7 + 3, F.lit(100)))
     return F.when(spoil == 11, F.array(other)).otherwise(F.array(

@@ -4,18 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionwise.sinks.writers import run_available
 from mentionwise.sources.readers import stream_json
 
 
+def _path(col: Column) -> Column:
+    """One spelling for ``file:/x`` and ``file:///x``."""
+    return F.regexp_replace(col, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def seen_files(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Paths of the files a file-stream checkpoint has already handed out."""
-    log = spark.read.option("recursiveFileLookup", "true").text(f"{checkpoint}/sources/0")
+    try:
+        log = spark.read.option("recursiveFileLookup", "true").text(f"{checkpoint}/sources/0")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path STRING")
     return log.where(F.col("value").startswith("{")).select(
-        F.get_json_object("value", "$.path").alias("path")
+        _path(F.get_json_object("value", "$.path")).alias("path")
     ).distinct()
 
 
@@ -34,7 +45,7 @@ def run_incremental(
         return
     rows = spark.read.schema(schema).json(path)
     if bookmark == "pause":
-        tagged = rows.withColumn("__file", F.col("_metadata.file_path"))
+        tagged = rows.withColumn("__file", _path(F.col("_metadata.file_path")))
         seen = seen_files(spark, checkpoint)
         rows = tagged.join(seen, tagged["__file"] == seen["path"], "left_anti").drop("__file")
     elif bookmark != "disable":

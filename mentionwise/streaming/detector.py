@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mentionwise.operators.running import SLICE
 from mentionwise.operators.windows import (
     CLOCKS, OPEN_WINDOWS, advance_clocks, classify, detection_records, firings, late_rows,
     open_windows, windowed_rows, with_clock,
@@ -50,12 +51,11 @@ class Detector:
         try:
             self._save(advance_clocks(rows, start), "clock", batch_id)
             end = self._state(spark, "clock", CLOCKS, batch_id + 1)
-            results = firings(
-                rows, self.delay, self.threshold, opened, start, end, self.slices
-            )
+            results = firings(rows, self.delay, self.threshold, opened, start, end)
             write_batch(results, f"{self.out}/results", batch_id)
-            write_batch(late_rows(rows), f"{self.out}/late", batch_id)
-            write_batch(windowed_rows(rows), f"{self.out}/windowed", batch_id)
+            kept = rows.drop(SLICE)
+            write_batch(late_rows(kept), f"{self.out}/late", batch_id)
+            write_batch(windowed_rows(kept), f"{self.out}/windowed", batch_id)
             self._save(
                 open_windows(rows, end, self.lateness, self.delay, opened), "open", batch_id
             )
