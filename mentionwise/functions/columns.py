@@ -26,9 +26,13 @@ def event_timestamp(event_time: Column, created_at: Column | None = None) -> Col
     return F.coalesce(*parsed)
 
 
+def is_athlete(annotation: Column) -> Column:
+    return annotation["domain"]["id"] == ATHLETE_DOMAIN
+
+
 def athletes(annotations: Column) -> Column:
     """The annotations of the athlete domain, in their order."""
-    return F.filter(annotations, lambda a: a["domain"]["id"] == ATHLETE_DOMAIN)
+    return F.filter(annotations, is_athlete)
 
 
 def first_athlete(annotations: Column) -> Column:

@@ -120,6 +120,7 @@ def enrich(
 
 
 def matched(enriched: DataFrame) -> DataFrame:
+    """The complete mentions, without the ``miss`` column."""
     return enriched.where(F.col("miss").isNull()).drop("miss")
 
 

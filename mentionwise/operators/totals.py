@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionwise.functions.columns import athletes
+from mentionwise.functions.columns import is_athlete
 from mentionwise.schemas import ATHLETE_DOMAIN, DATE_PARTS
 
 
@@ -14,13 +14,14 @@ def daily_player_totals(
 ) -> DataFrame:
     """Count annotations (an athlete tagged twice in one tweet counts twice).
 
-    Other domains are removed inside the array, before the rows multiply.
-    Day parameters filter the grouping keys after the aggregation; Catalyst
-    moves them down to the partition directories.
+    Explode, filter and the partial count run in one generated stage, which is
+    faster than filtering inside the array. Day parameters filter the grouping
+    keys after the aggregation; Catalyst moves them down to the partition
+    directories.
     """
     named = tweets.select(
-        *DATE_PARTS, F.explode(athletes(F.col("context_annotations"))).alias("context")
-    )
+        *DATE_PARTS, F.explode("context_annotations").alias("context")
+    ).where(is_athlete(F.col("context")))
     totals = named.groupBy(*DATE_PARTS, F.col("context.entity.name").alias("player")).agg(
         F.count("*").cast("int").alias("total")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionwise.functions.columns import (
-    athletes, crosses_teams, event_timestamp, first_username, names_text, window_text,
+    crosses_teams, event_timestamp, first_username, is_athlete, names_text, window_text,
 )
 from mentionwise.operators.running import SLICE, running, slice_by
 from mentionwise.schemas import (
@@ -37,8 +37,8 @@ def hop_rows(tweets: DataFrame) -> DataFrame:
     return tweets.select(
         event_timestamp(F.col("event_time"), tweet["created_at"]).alias("event_time"),
         first_username(F.col("includes")["users"]).alias("username"),
-        F.explode(athletes(tweet["context_annotations"])).alias("context"),
-    ).select("event_time", "username", F.col("context.entity.name").alias("player"))
+        F.explode(tweet["context_annotations"]).alias("context"),
+    ).where(is_athlete(F.col("context"))).select("event_time", "username", F.col("context.entity.name").alias("player"))
 
 
 def hop_mentions(

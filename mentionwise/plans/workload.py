@@ -14,7 +14,6 @@ from pyspark.sql.types import StructType
 
 from mentionwise.functions.columns import date_parts
 from mentionwise.operators.ingest import plain_base64
-from mentionwise.schemas import ANNOTATIONS
 
 # arrival lags the event by up to this many seconds, so that some rows are late
 MAX_LAG_SECONDS = 21_600
@@ -83,7 +82,7 @@ def _annotations() -> Column:
     second = player_name(F.pmod(F.col("k") * 7 + 3, F.lit(100)))
     return F.when(spoil == 11, F.array(other)).otherwise(F.array(
         other, _annotation(F.lit("60"), first), _annotation(F.lit("60"), second),
-    )).cast(ANNOTATIONS)
+    ))
 
 
 def stream_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +148,7 @@ def annotated_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
         created.alias("created_at"),
         F.when(F.col("l_quantity") < 3, F.lit(None)).otherwise(
             F.array(_annotation(flag, first), _annotation(status, second))
-        ).cast(ANNOTATIONS).alias("context_annotations"),
+        ).alias("context_annotations"),
     ).withColumns(date_parts(F.col("created_at")))
 
 
