@@ -59,7 +59,14 @@ def insert_totals(totals: DataFrame, name: str, replace_days: bool = False) -> N
     ``replace_days`` is the re-runnable variant for a table partitioned by day:
     it overwrites the days present in ``totals`` only.
     """
+    if not replace_days:
+        totals.write.insertInto(name)
+        return
     spark = totals.sparkSession
-    ordered = totals.select(*spark.table(name).columns) if replace_days else totals
-    writer = ordered.write.option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name, overwrite=replace_days)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # an insert takes it from the session only
+    try:
+        totals.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
