@@ -38,7 +38,6 @@ from mentionwise.sources.readers import (
     tweet_view,
 )
 from mentionwise.streaming.detector import Detector
-from mentionwise.streaming.gate import gate_stream
 from mentionwise.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -488,11 +487,8 @@ def tumbling_stream(spark, d):
 
 @query
 def control_gate_stream(spark, d):
-    broadcast = fits_broadcast(workload.players(spark, d))
-
     def run(tweets, changes, players, root):
-        rows = matched(enrich(mentions(tweets), players, salts=4, broadcast=broadcast))
-        passed = gate_stream(rows, decode_control(changes), salts=4)
+        passed = jobs.gated_stream(tweets, changes, players, salts=4)
         run_available(passed, f"{root}/checkpoint",
                       lambda batch, batch_id: write_batch(batch, f"{root}/out", batch_id))
 

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mentionwise.operators.dedup import drop_duplicates
 from mentionwise.operators.enrich import enrich, fits_broadcast, matched, mentions, quarantined
-from mentionwise.operators.gate import decode_control, gate
+from mentionwise.operators.gate import decode_control, gate, with_control
 from mentionwise.operators.ingest import decode_detections, with_related
 from mentionwise.operators.totals import daily_player_totals_sql
 from mentionwise.operators.windows import (
@@ -126,9 +126,16 @@ def detect_tampering_stream(
     """Streaming detector: results with revisions, late and windowed rows under ``out``."""
     broadcast = fits_broadcast(players)
     enriched = enrich(mentions(tweets), players, salts=salts, broadcast=broadcast)
-    passed = gate_stream(matched(enriched), decode_control(changes), salts)
-    detector = detector or Detector(out, f"{checkpoint}-state")
-    return run_available(passed, checkpoint, detector)
+    mixed = with_control(matched(enriched), decode_control(changes))
+    return run_available(mixed, checkpoint, detector or Detector(out, f"{checkpoint}-state"))
+
+
+def gated_stream(
+    tweets: DataFrame, changes: DataFrame, players: DataFrame, salts: int = 8
+) -> DataFrame:
+    """Streaming front half with keyed state: enrich, then gate; a stream of passing mentions."""
+    enriched = enrich(mentions(tweets), players, salts=salts, broadcast=fits_broadcast(players))
+    return gate_stream(matched(enriched), decode_control(changes), salts)
 
 
 def quarantine_stream(

@@ -33,12 +33,14 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_json(
     spark: SparkSession, path: str, schema: str, max_files: int | None = None,
-    latest_first: bool = False,
+    latest_first: bool = False, max_bytes: str | None = None,
 ) -> DataFrame:
-    """JSON-lines files as a stream; ``max_files`` bounds a micro-batch."""
+    """JSON-lines files as a stream; ``max_files`` or ``max_bytes`` bounds a micro-batch."""
     reader = spark.readStream.schema(schema).option("latestFirst", str(latest_first).lower())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.json(path)
 
 

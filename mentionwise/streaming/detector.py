@@ -1,10 +1,11 @@
-"""Detector micro-batches: exact lateness, first firings and revisions, side outputs.
+"""Detector micro-batches: control gate, exact lateness, firings and revisions, side outputs.
 
 Spark's own late filter uses the previous batch's watermark and only drops
-rows. The detector keeps its own clock instead, in small tables under
-``state_dir``, one folder per batch id, so a replayed batch reads the same
-state and overwrites the same output. The batch itself is processed with the
-batch operators; no key is confined to one task.
+rows, and keyed state would put a team's rows into one task. The detector
+carries its state in small tables under ``state_dir`` instead - control values
+per team, clocks, open windows - one folder per batch id, so a replayed batch
+reads the same state and overwrites the same output. Each batch goes through
+the batch operators, sliced by arrival.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionwise.operators.running import SLICE
+from mentionwise.operators.gate import ARRIVAL, latest_control, passing, resolve_control
+from mentionwise.operators.running import SLICE, slice_by
 from mentionwise.operators.windows import (
     CLOCKS, OPEN_WINDOWS, advance_clocks, classify, detection_records, firings, late_rows,
     open_windows, windowed_rows, with_clock,
@@ -22,13 +24,15 @@ from mentionwise.operators.windows import (
 from mentionwise.schemas import DELAY_SECONDS, LATENESS_SECONDS, WINDOW_SECONDS
 from mentionwise.sinks.writers import write_batch
 
+CONTROLS = "src_team STRING, allowed BOOLEAN"
+
 
 @dataclass
 class Detector:
-    """``foreachBatch`` function over gated mentions.
+    """``foreachBatch`` function over mentions and control values (see ``with_control``).
 
     Writes ``results`` (with their revision), ``late`` and ``windowed`` tables
-    under ``out``.
+    under ``out``. Only the state of the batch before is ever read again.
     """
 
     out: str
@@ -42,10 +46,14 @@ class Detector:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        controls = self._state(spark, "control", CONTROLS, batch_id)
         start = self._state(spark, "clock", CLOCKS, batch_id)
         opened = self._state(spark, "open", OPEN_WINDOWS, batch_id)
+
+        mixed = slice_by(batch, ARRIVAL, self.slices)
+        self._save(latest_control(mixed, controls), "control", batch_id)
         rows = classify(
-            with_clock(batch, self.clock, start, self.slices),
+            with_clock(passing(resolve_control(mixed, controls)), self.clock, start),
             self.window, self.lateness, self.delay,
         ).persist()
         try:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from data import ACCOUNT, change, changes, late_story_tweets, note, players, tweet, tweets, write_lines
 from mentionwise.operators.dedup import drop_duplicates_stream
 from mentionwise.operators.enrich import enrich, matched, mentions
-from mentionwise.operators.gate import decode_control, gate
+from mentionwise.operators.gate import decode_control, gate, with_control
 from mentionwise.operators.windows import classify, firings, late_rows, windowed_rows, with_clock
 from mentionwise.plans.jobs import (
     detect_tampering_stream, final_detections_stream, mention_windows, mention_windows_sql,
@@ -22,10 +22,6 @@ from mentionwise.streaming.detector import Detector, result_lines
 from mentionwise.streaming.gate import gate_stream
 
 
-def _story_control():
-    return [change(100, "Dallas", True, arrival=0)]
-
-
 def _random_feed(seed, n=60):
     rng = random.Random(seed)
     rows, control = [], []
@@ -90,7 +86,9 @@ def test_detector_stream_equals_batch(spark, tmp_path, seed, clock):
 
 def test_detector_replay_changes_nothing(spark, tmp_path):
     rows = matched(enrich(mentions(tweets(spark, late_story_tweets())), players(spark)))
-    first, second = (freeze(rows.where(c), "part") for c in ("arrival <= 3", "arrival > 3"))
+    control = decode_control(changes(spark, [change(100, "Dallas", True, arrival=0)]))
+    mixed = with_control(rows, control)
+    first, second = (freeze(mixed.where(c), "part") for c in ("arrival <= 3", "arrival > 3"))
     detector = Detector(str(tmp_path / "out"), str(tmp_path / "state"))
     detector(first, 0)
     detector(second, 1)
