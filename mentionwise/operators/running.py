@@ -38,9 +38,7 @@ def _summary(how: str, value: Column, order: list[str]) -> Column:
         return F.max(value)
     if how == "last":
         return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
-    if how == "count":
-        return F.count(value)
-    return F.collect_set(value)
+    return F.count(value)
 
 
 def _carried(how: str, summary: Column, window) -> Column:
@@ -48,9 +46,7 @@ def _carried(how: str, summary: Column, window) -> Column:
         return F.max(summary).over(window)
     if how == "last":
         return F.last(summary, ignorenulls=True).over(window)
-    if how == "count":
-        return F.sum(summary).over(window)
-    return F.array_distinct(F.flatten(F.collect_list(summary).over(window)))
+    return F.sum(summary).over(window)
 
 
 def _within(how: str, value: Column, carry: Column, window) -> Column:
@@ -58,11 +54,7 @@ def _within(how: str, value: Column, carry: Column, window) -> Column:
         return F.greatest(carry, F.max(value).over(window))
     if how == "last":
         return F.coalesce(F.last(value, ignorenulls=True).over(window), carry)
-    if how == "count":
-        return F.coalesce(carry, F.lit(0)) + F.count(value).over(window)
-    return F.array_union(
-        F.coalesce(carry, F.array().cast("array<string>")), F.collect_set(value).over(window)
-    )
+    return F.coalesce(carry, F.lit(0)) + F.count(value).over(window)
 
 
 def running(
@@ -76,8 +68,7 @@ def running(
     """Add running columns to ``df``, per ``keys``, in ``order`` (which must be unique per key).
 
     ``outputs`` maps a new column to ``(how, value)`` with ``how`` one of
-    ``max``, ``last`` (last non-null), ``count`` (non-null) or ``set``
-    (distinct strings). By default a row sees only the rows before it;
+    ``max``, ``last`` (last non-null) or ``count`` (non-null). By default a row sees only the rows before it;
     ``inclusive`` adds the row itself. Rows that carry slices of a compatible
     order keep them; others are sliced here.
     """

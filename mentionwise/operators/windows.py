@@ -234,8 +234,9 @@ def firings(
     batches, ``end`` the clocks after this one. Without ``end`` the input is
     complete and every window fires.
     """
-    base = window_contents(classified, opened).groupBy(*GROUP).agg(
-        F.sum("n").alias("base_total"), F.collect_list("src_name").alias("base_names")
+    held = window_contents(classified, opened)
+    base = held.groupBy(*GROUP).agg(
+        F.sum("n").alias("total"), F.collect_list("src_name").alias("names")
     )
 
     first = base
@@ -248,26 +249,27 @@ def firings(
         first = first.join(starts, "clock_key", "left").where(
             F.col("__start").isNull() | (due > F.col("__start"))
         ).drop("__start")
-    first = first.select(
-        *GROUP, F.col("base_total").alias("total"), F.col("base_names").alias("names"),
-        F.lit(0).cast("bigint").alias("revision"),
-    )
+    first = first.withColumn("revision", F.lit(0).cast("bigint"))
 
     again = classified.where(
         F.col("refire") & crosses_teams(F.col("src_team"), F.col("dst_team"))
     ).select(*GROUP, "arrival", "id", "src_name", SLICE)
-    revised = running(
-        again, GROUP, ["arrival", "id"],
-        {"more": ("count", F.lit(1)), "more_names": ("set", F.col("src_name"))},
-        inclusive=True,
+    counted = running(
+        again, GROUP, ["arrival", "id"], {"revision": ("count", F.lit(1))}, inclusive=True
+    )
+    # per group one list of its distinct names and when each came in, as long as the team is large
+    joined = again.groupBy(*GROUP, "src_name").agg(F.min(F.struct("arrival", "id")).alias("since"))
+    names = joined.withColumn("n", F.lit(0)).unionByName(held, allowMissingColumns=True)
+    groups = names.groupBy(*GROUP).agg(
+        F.sum("n").alias("base_total"),
+        F.collect_list(F.struct("since", "src_name")).alias("members"),
     )
-    later = _join_groups(revised, base).select(
+    met = F.filter("members", lambda m: m["since"].isNull() | (m["since"] <= F.struct("arrival", "id")))
+    later = _join_groups(counted, groups).select(
         *GROUP,
-        (F.coalesce("base_total", F.lit(0)) + F.col("more")).alias("total"),
-        F.array_union(
-            F.coalesce("base_names", F.array().cast("array<string>")), F.col("more_names")
-        ).alias("names"),
-        F.col("more").alias("revision"),
+        (F.col("base_total") + F.col("revision")).alias("total"),
+        F.array_distinct(F.transform(met, lambda m: m["src_name"])).alias("names"),
+        "revision",
     )
     return _as_detections(first.unionByName(later), threshold, "revision")
 
