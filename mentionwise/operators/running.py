@@ -28,11 +28,17 @@ def slice_by(df: DataFrame, order: list[str], slices: int | None = None) -> Data
     split. The result is written once to the shared scratch folder: range
     bounds come from a sample, and every later pass must see the same slices.
     """
-    slices = slices or shuffle_partitions(df.sparkSession)
+    # more slices than tasks, so that hashing them to tasks stays even
+    slices = slices or 2 * shuffle_partitions(df.sparkSession)
     ranged = df.repartitionByRange(slices, *order).withColumn(SLICE, F.spark_partition_id())
     return freeze(ranged, "slices")
 
 
+def _by_slice(df: DataFrame) -> DataFrame:
+    """Whole slices per task, whatever the key: the windows of all steps share one shuffle."""
+    return df.repartition(shuffle_partitions(df.sparkSession), SLICE)
+
+
 def _summary(how: str, value: Column, order: list[str]) -> Column:
     if how == "max":
         return F.max(value)
@@ -97,7 +103,9 @@ def running(
         Window.partitionBy(*keys, SLICE).orderBy(_ROW, *order)
         .rowsBetween(Window.unboundedPreceding, last_row)
     )
-    united = rows.withColumn(_ROW, F.lit(1)).unionByName(seeds, allowMissingColumns=True)
+    united = _by_slice(rows.withColumn(_ROW, F.lit(1))).unionByName(
+        _by_slice(seeds), allowMissingColumns=True
+    )
     result = united.withColumns({
         name: _within(how, F.col(f"__in_{name}"), F.first(f"__seed_{name}").over(here), here)
         for name, (how, _) in outputs.items()
