@@ -34,7 +34,7 @@ from mentionwise.sources.catalog import (
 )
 from mentionwise.sources.incremental import run_incremental
 from mentionwise.sources.readers import (
-    read_messages, read_players, read_tweets, stream_control, stream_json, stream_tweets,
+    read_players, read_tweets, stream_control, stream_json, stream_tweets,
     tweet_view,
 )
 from mentionwise.streaming.detector import Detector
