@@ -2,6 +2,51 @@
 
 from __future__ import annotations
 
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATION = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS k, doc_id,
+           coalesce(regexp_extract_all(translate(text, {LETTERS}), '{WORD}'), []) AS w
+    FROM documents
+), b AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, {LETTERS}), '{WORD}') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS phrase, least(len(w), 10) AS width
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), widths AS (SELECT DISTINCT width FROM windows
+), seen AS (
+    SELECT k, i, width, array_to_string(w[i:i + width - 1], ' ') AS phrase
+    FROM (SELECT k, w, unnest(range(1, len(w) + 1)) AS i FROM d), widths WHERE i + width - 1 <= len(w)
+), hits AS (SELECT k, i, s.width, item FROM seen s JOIN windows USING (phrase)
+), n AS (
+    SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + width)) AS p FROM (SELECT DISTINCT k, i, width FROM hits))
+    GROUP BY k
+), items AS (
+    SELECT k, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT k, item FROM hits) GROUP BY k
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (k) LEFT JOIN items USING (k)
+"""
+
+URLS = f"""
+WITH r(h, p, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), u AS (
+    SELECT row_number() OVER () AS k, page_id,
+           coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), {LETTERS}), '') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), best AS (
+    SELECT k, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+    FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY k
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best USING (k)
+"""
+
 
 def llm_oracle() -> dict[str, str]:
-    return {}
+    return {"op4_decontamination": DECONTAMINATION, "op6_urls": URLS}

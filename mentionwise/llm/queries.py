@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionwise.llm import bpe, simhash
+from mentionwise.llm import bpe, decontamination, language, simhash, urls
 from mentionwise.session import configure
 
 
@@ -32,10 +32,35 @@ def op3_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    found = decontamination.contamination(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op5_language(spark: SparkSession, d: str) -> DataFrame:
+    return language.predict(_table(spark, d, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+URL_RULES = [
+    ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
+]
+
+
+def op6_urls(spark: SparkSession, d: str) -> DataFrame:
+    pages = _table(spark, d, "pages")
+    return urls.judge(pages, spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     groups = simhash.near_duplicates(_table(spark, d, "documents"), shingle=3, max_bits=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_bpe": op3_bpe, "op7_simhash": op7_simhash}
+    return {
+        "op3_bpe": op3_bpe, "op4_decontamination": op4_decontamination, "op5_language": op5_language,
+        "op6_urls": op6_urls, "op7_simhash": op7_simhash,
+    }
