@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionwise.llm import bpe, decontamination, language, simhash, urls
+from mentionwise.llm import bpe, decontamination, language, lines, simhash, toxicity, urls
 from mentionwise.session import configure
 
 
@@ -21,6 +21,14 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{d}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    cleaned = lines.remove_repeated(_table(spark, d, "documents").select("doc_id", "text"))
+    left = F.coalesce("text", F.lit(""))
+    return cleaned.select(
+        "doc_id", F.col("__n_removed").cast("long").alias("n_removed"), F.sha2(left, 256).alias("text_sha256"),
+    )
+
+
 def op3_bpe(spark: SparkSession, d: str) -> DataFrame:
     path = tokenizer_path()
     docs = _table(spark, d, "documents")
@@ -59,8 +67,12 @@ def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.predict(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op3_bpe": op3_bpe, "op4_decontamination": op4_decontamination, "op5_language": op5_language,
-        "op6_urls": op6_urls, "op7_simhash": op7_simhash,
+        "op2_line_dedup": op2_line_dedup, "op3_bpe": op3_bpe, "op4_decontamination": op4_decontamination, "op5_language": op5_language,
+        "op6_urls": op6_urls, "op7_simhash": op7_simhash, "op10_toxicity": op10_toxicity,
     }
