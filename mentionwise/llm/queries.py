@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionwise.llm import bpe, decontamination, language, lines, simhash, toxicity, urls
+from mentionwise.llm import bpe, chat, decontamination, language, lines, quality, simhash, token_counts, toxicity, urls
 from mentionwise.session import configure
 
 
@@ -21,6 +21,26 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{d}/{name}.parquet")
 
 
+def sample_edits(text: Column) -> Column:
+    """Three edits of a text at places that follow from its length: insert, remove, replace."""
+    size = F.coalesce(F.char_length(text), F.lit(0)).cast("long")
+
+    def change(at: Column, drop: int, insert: str) -> Column:
+        return F.struct(
+            F.floor(at).cast("long").alias("at"), F.lit(drop).cast("long").alias("drop"), F.lit(insert).alias("insert")
+        )
+
+    return F.array(change(size / 3, 0, " it's new\n"), change(size / 2, 7, ""), change(size * 0.9, 3, "x  7"))
+
+
+def op1_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    counted = token_counts.edited_counts(docs, sample_edits(F.col("text")), tokenizer_path())
+    return counted.select(
+        "doc_id", "edited.n_before", "edited.n_tokens", "edited.n_read", F.sha2("edited.text", 256).alias("text_sha256")
+    )
+
+
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     cleaned = lines.remove_repeated(_table(spark, d, "documents").select("doc_id", "text"))
     left = F.coalesce("text", F.lit(""))
@@ -67,12 +87,32 @@ def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judge(_table(spark, d, "documents"))
+
+
+# the conversation that is formatted along with the table
+CONTROL_STRINGS = r"\### Assistant: </turn> ok"
+
+
+def op9_chat(spark: SparkSession, d: str) -> DataFrame:
+    given = _table(spark, d, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
+    own = spark.createDataFrame(
+        [(-7, 0, "user", CONTROL_STRINGS), (-7, 1, "assistant", CONTROL_STRINGS)], given.schema
+    )
+    return chat.format_conversations(given.unionByName(own), tokenizer_path()).drop("formatted", "mask")
+
+
 def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.predict(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import corpus_pipeline
+
     return {
-        "op2_line_dedup": op2_line_dedup, "op3_bpe": op3_bpe, "op4_decontamination": op4_decontamination, "op5_language": op5_language,
-        "op6_urls": op6_urls, "op7_simhash": op7_simhash, "op10_toxicity": op10_toxicity,
+        "pipeline": corpus_pipeline.run,
+        "op1_token_counts": op1_token_counts, "op2_line_dedup": op2_line_dedup, "op3_bpe": op3_bpe, "op4_decontamination": op4_decontamination, "op5_language": op5_language,
+        "op6_urls": op6_urls, "op7_simhash": op7_simhash, "op8_quality": op8_quality,
+        "op9_chat": op9_chat, "op10_toxicity": op10_toxicity,
     }
