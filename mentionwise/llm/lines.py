@@ -8,13 +8,16 @@ gives short lists). Two sets of Jaccard similarity ``threshold`` share a word of
 their prefixes, so classes meet in the lists of prefix words; a word whose counter
 is 1 can meet nothing. A line is removed if an earlier line of the corpus, removed
 or not, is similar enough. Lists of more than a bounded share are dealt out as cells
-of two blocks, and a class leaves a cell at most once.
+of two blocks. Postings carry a 64-bit sketch of the set, by which most pairs go; a
+class first verifies its ``FIRST`` earliest candidates of a cell, and only classes
+that all of them fail verify the rest, so a group of near copies is not all its pairs.
 
 Order: documents by doc_id (null last), then by text, then lines as they stand.
 Edge cases: rows of equal doc_id and text are the same document and fare alike;
 lines without words stay; a null text stays null, an empty one empty; a text that
 loses all lines becomes empty; other columns pass through. Words are compared by
-64-bit hashes.
+64-bit hashes,
+sets by one of them.
 """
 
 from __future__ import annotations
@@ -24,34 +27,67 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from mentionwise.llm.components import join_counted
-from mentionwise.llm.decontamination import lower_ascii
 from mentionwise.session import freeze
 
 COUNTERS = 1 << 20
 # a list longer than this, and longer than one in HEAVY_LISTS postings, is dealt out as cells
 CELL = 1024
 HEAVY_LISTS = 50_000
-SPACES = r"[ \t-\r]+"
+# candidates of a class in a cell that are verified before the rest
+FIRST = 4
+# words whose hash a Python worker keeps
+WORDS_KEPT = 500_000
+AT = ["doc_id", "text_hash", "line"]
+_hashes: dict[bytes, int] = {}
 
 
-def word_set(line: Column) -> Column:
+def word_hashes(line: str) -> np.ndarray:
     """The distinct words of a line as sorted hashes."""
-    words = F.filter(F.split(lower_ascii(line), SPACES), lambda w: w != "")
-    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+    words = set(line.encode().lower().split())
+    if len(_hashes) > WORDS_KEPT:
+        _hashes.clear()
+    for w in words.difference(_hashes):
+        _hashes[w] = xxhash.xxh64_intdigest(w)
+    found = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    found.sort()
+    return found
 
 
 def cut(docs: DataFrame) -> DataFrame:
-    """``at`` (place in the corpus), ``set`` and ``class`` of every line with words."""
-    place = F.struct(
-        F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("line")
-    )
-    lines = docs.select("doc_id", "text", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    lines = lines.select(place.alias("at"), word_set(F.col("words")).alias("set")).where(F.size("set") > 0)
-    return lines.withColumn("class", F.unhex(F.md5(F.array_join("set", ",").cast("binary"))))
+    """``doc_id, text_hash, line, class, words`` of every line with words; ``words`` is the line."""
+    kind = docs.schema["doc_id"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, number, cls, lines = [], [], [], []
+            for r, text in enumerate(batch.column("text").to_pylist()):
+                for k, line in enumerate((text or "").split("\n")):
+                    found = word_hashes(line)
+                    if len(found):
+                        row.append(r)
+                        number.append(k)
+                        cls.append(xxhash.xxh64_intdigest(found.tobytes()))
+                        lines.append(line)
+            taken = batch.select(["doc_id", "text_hash"]).take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*taken.columns, pa.array(number, pa.int32()), pa.array(np.array(cls, np.uint64).view(np.int64)),
+                 pa.array(lines, pa.string())], [*AT, "class", "words"],
+            )
+
+    read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return read.mapInArrow(run, f"doc_id {kind.simpleString()}, text_hash long, line int, class long, words string")
+
+
+def order(prefix: str = ""):
+    """Place in the corpus: doc_id (null last), text, line."""
+    doc_id, text_hash, line = (F.col(prefix + c) for c in AT)
+    return F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), text_hash.alias("text_hash"), line.alias("line"))
 
 
 def rarity(classes: DataFrame) -> np.ndarray:
@@ -60,144 +96,195 @@ def rarity(classes: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            tokens = np.asarray(batch.column("set").flatten())
-            sums += np.bincount(tokens & (COUNTERS - 1), minlength=COUNTERS)
+            for line in batch.column("words").to_pylist():
+                np.add.at(sums, word_hashes(line) & np.uint64(COUNTERS - 1), 1)
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], ["counter", "n"])
 
-    rows = classes.select("set").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    rows = classes.select("words").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
     found = rows.toArrow()
     counts = np.zeros(COUNTERS, np.int64)
     counts[found["counter"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 
-def least_overlap(a: int, b: int | np.ndarray, threshold: float) -> np.ndarray:
+def least_overlap(a, b, threshold: float):
     """The overlap that sets of these sizes need."""
     return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
 
 
-def postings(classes: DataFrame, threshold: float) -> DataFrame:
-    """``word, place, class, at, set`` for each prefix word; sets in order of rarity."""
-    counts = rarity(classes)
+def postings(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
+    """``word, place, size, sketch`` and the class's place in the corpus, for each prefix word."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, place, row, sets = [], [], [], []
-            for r, tokens in enumerate(batch.column("set")):
-                t = np.asarray(tokens.values)
-                n = counts[t & (COUNTERS - 1)]
-                order = np.lexsort((t, n))
-                t, n = t[order], n[order]
-                prefix = len(t) - math.ceil(threshold * len(t) - 1e-9) + 1
-                for p in np.flatnonzero(n[:prefix] > 1).tolist():
-                    word.append(t[p])
-                    place.append(p)
-                    row.append(r)
-                    sets.append(t.tobytes())
-            taken = batch.select(["class", "at"]).take(pa.array(row, pa.int64()))
+            word, place, row, size, sketch = [], [], [], [], []
+            for r, line in enumerate(batch.column("words").to_pylist()):
+                t = word_hashes(line)
+                n = counts[t & np.uint64(COUNTERS - 1)]
+                bits = int(np.bitwise_or.reduce(np.uint64(1) << (t >> np.uint64(58))))
+                by_rarity = np.lexsort((t, n))
+                prefix = by_rarity[:len(t) - math.ceil(threshold * len(t) - 1e-9) + 1]
+                used = np.flatnonzero(n[prefix] > 1)
+                word.append(t[prefix[used]])
+                place.append(used)
+                row += [r] * len(used)
+                size += [len(t)] * len(used)
+                sketch += [bits] * len(used)
+            taken = batch.select(AT).take(pa.array(row, pa.int64()))
+            words = np.concatenate([*word, np.empty(0, np.uint64)]).view(np.int64)
+            places = np.concatenate([*place, np.empty(0, np.int64)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word, pa.int64()), pa.array(place, pa.int32()), *taken.columns, pa.array(sets, pa.binary())],
-                ["word", "place", "class", "at", "set"],
+                [pa.array(words), pa.array(places), pa.array(size, pa.int32()),
+                 pa.array(np.array(sketch, np.uint64).view(np.int64)), *taken.columns],
+                ["word", "place", "size", "sketch", *AT],
             )
 
-    at = classes.schema["at"].dataType.simpleString()
-    return classes.select("class", "at", "set").mapInArrow(
-        index, f"word long, place int, class binary, at {at}, set binary"
+    kind = classes.schema["doc_id"].dataType.simpleString()
+    return classes.select(*AT, "words").mapInArrow(
+        index, f"word long, place int, size int, sketch long, doc_id {kind}, text_hash long, line int"
     )
 
 
 def cells(index: DataFrame) -> DataFrame:
     """Postings with ``i, j, block``: long lists as all pairs of blocks, the rest as one cell."""
-    longest = max(CELL, index.count() // HEAVY_LISTS)
-    sizes = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    sizes = freeze(index.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "line-lists")
+    longest = max(CELL, (sizes.agg(F.sum("n")).first()[0] or 0) // HEAVY_LISTS)
     # at most HEAVY_LISTS rows, as each has more than its share of the postings
     heavy = sizes.where(F.col("n") > longest).select("word", F.ceil(F.col("n") / longest).cast("int").alias("blocks"))
     dealt = index.join(F.broadcast(heavy), "word", "left")
-    block = F.coalesce(F.pmod(F.xxhash64("class"), F.col("blocks")), F.lit(0)).cast("int")
+    block = F.coalesce(F.pmod(F.xxhash64(*AT), F.col("blocks")), F.lit(0)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
-    dealt = dealt.withColumn("block", block).withColumn("other", other)
-    return dealt.select(
-        "word", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "place", "class", "at", "set",
-    )
+    dealt = dealt.withColumn("block", block).withColumn("other", other).drop("blocks")
+    return dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
 
 
-def later_matches(place: np.ndarray, block: np.ndarray, sets: list[np.ndarray], threshold: float) -> list[int]:
-    """Rows, in corpus order, of which an earlier row is similar enough."""
-    size = np.fromiter(map(len, sets), np.int64, len(sets))
+def earlier_candidates(place, size, sketch, block, threshold: float, skip: int, most: int | None):
+    """Pairs (row, earlier row) that may be similar, and the rows with more than ``most`` left.
+
+    Rows stand in corpus order; the first ``skip`` candidates of a row are passed over.
+    """
     after = size - place
-    across = len(np.unique(block)) > 1
-    known = [None] * len(sets)
-    found = []
-    for row in range(1, len(sets)):
-        need = least_overlap(int(size[row]), size[:row], threshold)
+    across = block.min() != block.max()
+    rows, others, cut_off = [], [], []
+    for row in range(1, len(size)):
+        need = least_overlap(size[row], size[:row], threshold)
         maybe = (np.minimum(after[:row], after[row]) >= need) & (np.minimum(size[:row], size[row]) >= need)
         if across:
             maybe &= block[:row] != block[row]
-        for other in np.flatnonzero(maybe).tolist():
-            for k in (row, other):
-                if known[k] is None:
-                    known[k] = frozenset(sets[k].tolist())
-            if len(known[row] & known[other]) >= need[other]:
-                found.append(row)
-                break
-    return found
-
-
-def matched(classes: DataFrame, threshold: float) -> DataFrame:
-    """``class`` of every class of which an earlier one is similar enough."""
+        at = np.flatnonzero(maybe)
+        missing = np.bitwise_count(sketch[row] & ~sketch[at])
+        extra = np.bitwise_count(sketch[at] & ~sketch[row])
+        at = at[(size[row] - missing >= need[at]) & (size[at] - extra >= need[at])][skip:]
+        if most is not None and len(at) > most:
+            cut_off.append(row)
+            at = at[:most]
+        rows += [row] * len(at)
+        others += at.tolist()
+    return rows, others, cut_off
+
+
+def candidates(index: DataFrame, threshold: float, skip: int, most: int | None) -> DataFrame:
+    """``a_*`` and an earlier ``b_*`` (places in the corpus); ``more`` (b null): ``a`` has further ones."""
     key = ["word", "i", "j"]
-    index = freeze(postings(classes, threshold), "line-postings")
-    ordered = cells(index).repartition(*key).sortWithinPartitions(*key, "at", "class").drop("at")
+    ordered = cells(index).repartition(*key).sortWithinPartitions(*key, order())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows: list[tuple]) -> list[bytes]:
-            sets = [np.frombuffer(r[2], np.int64) for r in rows]
-            place, block = (np.array([r[k] for r in rows], np.int64) for k in (0, 1))
-            return [rows[k][3] for k in later_matches(place, block, sets, threshold)]
-
-        run, held = None, []
+        names = ["a_doc_id", "a_text_hash", "a_line", "b_doc_id", "b_text_hash", "b_line", "more"]
+
+        def flush(run: pa.Table) -> Iterator[pa.RecordBatch]:
+            if len(run) < 2:
+                return
+            columns = [run[c].to_numpy() for c in ("place", "size", "sketch", "block")]
+            columns[2] = columns[2].view(np.uint64)
+            rows, others, cut_off = earlier_candidates(*columns, threshold, skip, most)
+            if rows:
+                a = run.select(AT).take(pa.array(rows + cut_off, pa.int64()))
+                b = run.select(AT).take(pa.array(others + [None] * len(cut_off), pa.int64()))
+                more = pa.array([False] * len(others) + [True] * len(cut_off))
+                yield from pa.Table.from_arrays([*a.columns, *b.columns, more], names).combine_chunks().to_batches()
+
+        held = None
         for batch in batches:
-            out: list[bytes] = []
-            names = ("word", "i", "j", "place", "block", "set", "class")
-            for *k, place, block, tokens, cls in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                if k != run:
-                    if len(held) > 1:
-                        out += flush(held)
-                    run, held = k, []
-                held.append((place, block, tokens, cls))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["class"])
-        if len(held) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(flush(held), pa.binary())], ["class"])
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            k = [held[c].to_numpy() for c in key]
+            starts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in k], axis=0)])
+            # the last run may go on in the next batch
+            for a, b in zip(starts, starts[1:]):
+                yield from flush(held.slice(a, b - a))
+            held = held.slice(starts[-1]).combine_chunks()
+        if held is not None:
+            yield from flush(held)
+
+    kind = index.schema["doc_id"].dataType.simpleString()
+    place = ", ".join(f"{x}_doc_id {kind}, {x}_text_hash long, {x}_line int" for x in "ab")
+    return ordered.mapInArrow(compare, f"{place}, more boolean").distinct()
+
+
+def _same(left: str, right: str):
+    """Do two places agree? ``left`` and ``right`` are prefixes of their columns."""
+    doc, rest = (F.col(left + "doc_id").eqNullSafe(F.col(right + "doc_id"))), [c for c in AT if c != "doc_id"]
+    for c in rest:
+        doc = doc & (F.col(left + c) == F.col(right + c))
+    return doc
+
+
+def verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """``a_*`` of the pairs whose lines have the similarity."""
+
+    @arrow_udf("boolean")
+    def similar(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
+            x, y = word_hashes(x), word_hashes(y)
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(bool(shared >= least_overlap(len(x), len(y), threshold)))
+        return pa.array(out, pa.bool_())
+
+    text = {x: classes.select(*[F.col(c).alias(f"{x}{c}") for c in AT], F.col("words").alias(f"{x}words")) for x in "pq"}
+    met = pairs.join(text["p"], _same("a_", "p")).join(text["q"], _same("b_", "q"))
+    return met.where(similar("pwords", "qwords")).select("a_doc_id", "a_text_hash", "a_line").distinct()
+
 
-    return ordered.mapInArrow(compare, "class binary").distinct()
+def matched(classes: DataFrame, threshold: float) -> DataFrame:
+    """``a_*``: places of the classes of which an earlier one is similar enough."""
+    index = postings(classes, rarity(classes), threshold)
+    pairs = freeze(candidates(index, threshold, 0, FIRST), "line-candidates")
+    found = freeze(verified(pairs.where("not more"), classes, threshold), "line-matches")
+    left = pairs.where("more").select("a_doc_id", "a_text_hash", "a_line").distinct()
+    left = left.join(found.toDF("p_doc_id", "p_text_hash", "p_line"), _same("a_", "p_"), "left_anti")
+    left = freeze(left, "line-undecided")
+    if left.isEmpty():
+        return found
+    rest = candidates(index, threshold, FIRST, None)
+    rest = rest.join(left.toDF("p_doc_id", "p_text_hash", "p_line"), _same("a_", "p_"), "left_semi")
+    return found.union(verified(rest, classes, threshold))
 
 
 def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``doc_id, text_hash, removed``: the numbers of the lines that go, for documents with any."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
-    lines = cut(docs.select("doc_id", "text"))
-    classes = lines.groupBy("class").agg(
-        F.min("at").alias("at"), F.any_value("set").alias("set"), F.count(F.lit(1)).alias("n")
-    )
-    classes = freeze(classes, "line-classes")
-    later = freeze(matched(classes, threshold).withColumn("later", F.lit(True)), "line-matches")
-    facts = classes.select("class", F.col("at").alias("first"), "n").join(later, "class", "left")
+    lines = cut(docs)
+    first = F.min(F.struct(order().alias("at"), "words")).alias("first")
+    classes = lines.groupBy("class").agg(first, F.count(F.lit(1)).alias("n"))
+    classes = freeze(classes.select("class", "n", *[f"first.at.{c}" for c in AT], "first.words"), "line-classes")
+    later = freeze(matched(classes, threshold).withColumn("later", F.lit(True)), "line-later")
+    facts = classes.drop("words").join(later, _same("", "a_"), "left")
     # a class of one line without a match removes nothing
-    facts = freeze(facts.where("n > 1 or later"), "line-facts")
+    facts = facts.where("n > 1 or later").select("class", "n", order().alias("first"), "later")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    marked = join_counted(lines.select("class", "at"), facts, "class", "n", total)
-    gone = marked.where(F.col("later") | (F.col("at") > F.col("first")))
-    return gone.groupBy(F.col("at.doc_id").alias("doc_id"), F.col("at.text_hash").alias("text_hash")).agg(
-        F.collect_set("at.line").alias("removed")
-    )
+    marked = join_counted(lines.drop("words"), freeze(facts, "line-facts"), "class", "n", total)
+    gone = marked.where(F.col("later") | (order() > F.col("first")))
+    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("removed"))
 
 
 def remove_repeated(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` with ``text`` rid of later similar lines, and ``__n_removed``."""
-    gone = removed_lines(docs, threshold).alias("g")
+    gone = removed_lines(docs.select("doc_id", "text"), threshold).alias("g")
     read = docs.alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.xxhash64("d.text") == F.col("g.text_hash"))
     kept = F.filter(
