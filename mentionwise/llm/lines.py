@@ -9,7 +9,7 @@ their prefixes, so classes meet in the lists of prefix words; a word whose count
 is 1 can meet nothing. A line is removed if an earlier line of the corpus, removed
 or not, is similar enough. Lists of more than a bounded share are dealt out as cells
 of two blocks. Postings carry a 64-bit sketch of the set, by which most pairs go; a
-class first verifies its ``FIRST`` earliest candidates of a cell, and only classes
+class first verifies its ``FIRST`` nearest candidates of a cell, and only classes
 that all of them fail verify the rest, so a group of near copies is not all its pairs.
 
 Order: documents by doc_id (null last), then by text, then lines as they stand.
@@ -41,6 +41,8 @@ CELL = 1024
 HEAVY_LISTS = 50_000
 # candidates of a class in a cell that are verified before the rest
 FIRST = 4
+# postings a task compares at once, at least; a run is never split
+HELD = 30_000
 # words whose hash a Python worker keeps
 WORDS_KEPT = 500_000
 AT = ["doc_id", "text_hash", "line"]
@@ -159,29 +161,41 @@ def cells(index: DataFrame) -> DataFrame:
     return dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
 
 
-def earlier_candidates(place, size, sketch, block, threshold: float, skip: int, most: int | None):
+def earlier_candidates(run, place, size, sketch, block, threshold: float, skip: int, most: int | None):
     """Pairs (row, earlier row) that may be similar, and the rows with more than ``most`` left.
 
-    Rows stand in corpus order; the first ``skip`` candidates of a row are passed over.
+    Rows stand in runs, in corpus order within each; all runs are compared at once, at
+    distance 1, 2, ... The first ``skip`` candidates of a row are passed over.
     """
+    starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
+    lengths = np.diff(np.r_[starts, len(run)])
+    first = np.repeat(starts, lengths)
+    # a run of one block is compared whole; in one of two blocks only across
+    across = np.repeat(np.minimum.reduceat(block, starts) != np.maximum.reduceat(block, starts), lengths)
     after = size - place
-    across = block.min() != block.max()
-    rows, others, cut_off = [], [], []
-    for row in range(1, len(size)):
-        need = least_overlap(size[row], size[:row], threshold)
-        maybe = (np.minimum(after[:row], after[row]) >= need) & (np.minimum(size[:row], size[row]) >= need)
-        if across:
-            maybe &= block[:row] != block[row]
-        at = np.flatnonzero(maybe)
-        missing = np.bitwise_count(sketch[row] & ~sketch[at])
-        extra = np.bitwise_count(sketch[at] & ~sketch[row])
-        at = at[(size[row] - missing >= need[at]) & (size[at] - extra >= need[at])][skip:]
-        if most is not None and len(at) > most:
-            cut_off.append(row)
-            at = at[:most]
-        rows += [row] * len(at)
-        others += at.tolist()
-    return rows, others, cut_off
+    seen = np.zeros(len(run), np.int64)
+    rows, others, cut_off = ([np.empty(0, np.int64)] for _ in range(3))
+    at, step = np.arange(len(run)), 1
+    while len(at := at[at - step >= first[at]]):
+        a, b = at, at - step
+        need = least_overlap(size[a], size[b], threshold)
+        maybe = (np.minimum(after[a], after[b]) >= need) & (np.minimum(size[a], size[b]) >= need)
+        maybe &= ~across[a] | (block[a] != block[b])
+        a, b, need = a[maybe], b[maybe], need[maybe]
+        fits = size[a] - np.bitwise_count(sketch[a] & ~sketch[b]) >= need
+        fits &= size[b] - np.bitwise_count(sketch[b] & ~sketch[a]) >= need
+        a, b = a[fits], b[fits]
+        seen[a] += 1
+        taken = seen[a] > skip
+        if most is not None:
+            over = seen[a] > skip + most
+            cut_off.append(a[over])
+            taken &= ~over
+            at = at[seen[at] <= skip + most]
+        rows.append(a[taken])
+        others.append(b[taken])
+        step += 1
+    return np.concatenate(rows), np.concatenate(others), np.concatenate(cut_off)
 
 
 def candidates(index: DataFrame, threshold: float, skip: int, most: int | None) -> DataFrame:
@@ -192,32 +206,37 @@ def candidates(index: DataFrame, threshold: float, skip: int, most: int | None)
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a_doc_id", "a_text_hash", "a_line", "b_doc_id", "b_text_hash", "b_line", "more"]
 
-        def flush(run: pa.Table) -> Iterator[pa.RecordBatch]:
-            if len(run) < 2:
+        def runs(table: pa.Table) -> np.ndarray:
+            k = [table[c].to_numpy() for c in key]
+            return np.cumsum(np.r_[True, np.any([c[1:] != c[:-1] for c in k], axis=0)])
+
+        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            if len(table) < 2:
                 return
-            columns = [run[c].to_numpy() for c in ("place", "size", "sketch", "block")]
-            columns[2] = columns[2].view(np.uint64)
-            rows, others, cut_off = earlier_candidates(*columns, threshold, skip, most)
-            if rows:
-                a = run.select(AT).take(pa.array(rows + cut_off, pa.int64()))
-                b = run.select(AT).take(pa.array(others + [None] * len(cut_off), pa.int64()))
+            place, size, sketch, block = (table[c].to_numpy() for c in ("place", "size", "sketch", "block"))
+            rows, others, cut_off = earlier_candidates(
+                runs(table), place, size, sketch.view(np.uint64), block, threshold, skip, most
+            )
+            if len(rows) or len(cut_off):
+                a = table.select(AT).take(pa.array(np.concatenate([rows, cut_off])))
+                b = table.select(AT).take(pa.array(others.tolist() + [None] * len(cut_off), pa.int64()))
                 more = pa.array([False] * len(others) + [True] * len(cut_off))
                 yield from pa.Table.from_arrays([*a.columns, *b.columns, more], names).combine_chunks().to_batches()
 
-        held = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if not batch.num_rows:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(h.num_rows for h in held) < HELD:
                 continue
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            k = [held[c].to_numpy() for c in key]
-            starts = np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in k], axis=0)])
+            table = pa.Table.from_batches(held).combine_chunks()
+            found = runs(table)
             # the last run may go on in the next batch
-            for a, b in zip(starts, starts[1:]):
-                yield from flush(held.slice(a, b - a))
-            held = held.slice(starts[-1]).combine_chunks()
-        if held is not None:
-            yield from flush(held)
+            end = int(np.searchsorted(found, found[-1]))
+            yield from flush(table.slice(0, end))
+            held = table.slice(end).combine_chunks().to_batches()
+        if held:
+            yield from flush(pa.Table.from_batches(held).combine_chunks())
 
     kind = index.schema["doc_id"].dataType.simpleString()
     place = ", ".join(f"{x}_doc_id {kind}, {x}_text_hash long, {x}_line int" for x in "ab")
