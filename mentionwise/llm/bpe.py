@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 # texts are pre-tokenised in slices of about so many characters, whatever the Arrow batch holds
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 # words kept with their tokens in each Python worker; beyond, the table starts anew
-WORDS_KEPT = 600_000
+WORDS_KEPT = 200_000
 
 # fixed values: how the byte-level vocabularies cut a text, and which bytes stand for themselves
 CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
