@@ -161,4 +161,6 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = 10, span: int =
 
 def keep_clean(docs: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
     """``docs`` without those that hold a window of an item."""
-    return matches(docs, items, size).where(F.size("found") == 0).select(*docs.columns)
+    # whole rows travel as one column, so that no column of theirs clashes
+    wrapped = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    return matches(wrapped, items, size).where(F.size("found") == 0).select("row.*")
