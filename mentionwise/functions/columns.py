@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from mentionwise.schemas import ATHLETE_DOMAIN, NOTIFICATION_SUBJECT
 
+# 31 December 9999 in epoch milliseconds
+MAX_MILLIS = 253_402_300_799_999
+
 
 def date_parts(created_at: Column) -> dict[str, Column]:
     """Year, month and day as text slices: a malformed date gives short parts, no error."""
@@ -20,7 +23,10 @@ def date_parts(created_at: Column) -> dict[str, Column]:
 def event_timestamp(event_time: Column, created_at: Column | None = None) -> Column:
     """Epoch millis or ISO text to a timestamp; ``created_at`` is the fallback."""
     text = event_time.cast("string")
-    parsed = [F.timestamp_millis(text.try_cast("bigint")), F.try_to_timestamp(text)]
+    millis = text.try_cast("bigint")
+    # outside this range a timestamp overflows: such a record has no time and goes to quarantine
+    millis = F.when(millis.between(-MAX_MILLIS, MAX_MILLIS), millis)
+    parsed = [F.timestamp_millis(millis), F.try_to_timestamp(text)]
     if created_at is not None:
         parsed.append(F.try_to_timestamp(created_at))
     return F.coalesce(*parsed)

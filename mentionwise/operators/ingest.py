@@ -57,7 +57,8 @@ def decode_payloads(messages: DataFrame) -> DataFrame:
     kept = [c for c in messages.columns if c != "payload"] + ["payload"]
 
     # one JSON object and nothing after it: as a one-element list, trailing text does not parse
-    text = F.trim("payload")
+    # JSON's white space around it, and a byte-order mark before it, do not matter
+    text = F.regexp_replace("payload", r"^\uFEFF?[ \t\r\n]+|^\uFEFF|[ \t\r\n]+$", "")
     listed = F.try_parse_json(F.when(
         text.startswith("{") & text.endswith("}"), F.concat(F.lit("["), text, F.lit("]"))
     ))

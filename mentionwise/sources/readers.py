@@ -36,7 +36,9 @@ def stream_json(
     latest_first: bool = False, max_bytes: str | None = None,
 ) -> DataFrame:
     """JSON-lines files as a stream; ``max_files`` or ``max_bytes`` bounds a micro-batch."""
+    # copied or restored files keep old times: none is too old to be read
     reader = spark.readStream.schema(schema).option("latestFirst", str(latest_first).lower())
+    reader = reader.option("maxFileAge", "36500d")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
