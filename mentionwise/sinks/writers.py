@@ -15,6 +15,7 @@ from mentionwise.operators.ingest import (
 )
 from mentionwise.operators.typed_load import check_totals, loadable, rejects, require_all
 from mentionwise.schemas import DATE_PARTS, STATUS_OK
+from mentionwise.session import freeze
 
 
 def write_partitioned_json(
@@ -168,7 +169,8 @@ def load_warehouse(
     emptied rather than dropped.
     """
     checked = check_totals(totals)
-    rows = require_all(checked) if strict else loadable(checked)
+    # a strict load is checked whole before the old table goes
+    rows = freeze(require_all(checked), "strict-load") if strict else loadable(checked)
     if jdbc:
         rows.write.format("jdbc").options(**jdbc).option("truncate", "true").mode("overwrite").save()
     else:
