@@ -10,7 +10,7 @@ is 1 can meet nothing. A line is removed if an earlier line of the corpus, remov
 or not, is similar enough. Lists of more than a bounded share are dealt out as cells
 of two blocks. Postings carry a 64-bit sketch of the set, by which most pairs go; a
 class first verifies its ``FIRST`` nearest candidates of a cell, and only classes
-that all of them fail verify the rest, so a group of near copies is not all its pairs.
+that all of them fail are compared further, so a group of near copies is not all its pairs.
 
 Order: documents by doc_id (null last), then by text, then lines as they stand.
 Edge cases: rows of equal doc_id and text are the same document and fare alike;
@@ -116,7 +116,7 @@ def least_overlap(a, b, threshold: float):
 
 
 def postings(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    """``word, place, size, sketch`` and the class's place in the corpus, for each prefix word."""
+    """``word, place, size, sketch, open`` and the class's place in the corpus, for each prefix word."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,27 +133,31 @@ def postings(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFr
                 row += [r] * len(used)
                 size += [len(t)] * len(used)
                 sketch += [bits] * len(used)
-            taken = batch.select(AT).take(pa.array(row, pa.int64()))
+            taken = batch.select([*AT, "open"]).take(pa.array(row, pa.int64()))
             words = np.concatenate([*word, np.empty(0, np.uint64)]).view(np.int64)
             places = np.concatenate([*place, np.empty(0, np.int64)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words), pa.array(places), pa.array(size, pa.int32()),
                  pa.array(np.array(sketch, np.uint64).view(np.int64)), *taken.columns],
-                ["word", "place", "size", "sketch", *AT],
+                ["word", "place", "size", "sketch", *AT, "open"],
             )
 
     kind = classes.schema["doc_id"].dataType.simpleString()
-    return classes.select(*AT, "words").mapInArrow(
-        index, f"word long, place int, size int, sketch long, doc_id {kind}, text_hash long, line int"
+    return classes.select(*AT, "open", "words").mapInArrow(
+        index, f"word long, place int, size int, sketch long, doc_id {kind}, text_hash long, line int, open boolean"
     )
 
 
-def cells(index: DataFrame) -> DataFrame:
-    """Postings with ``i, j, block``: long lists as all pairs of blocks, the rest as one cell."""
+def long_lists(index: DataFrame) -> DataFrame:
+    """``word, blocks`` of the lists to be dealt out; at most HEAVY_LISTS rows."""
     sizes = freeze(index.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "line-lists")
     longest = max(CELL, (sizes.agg(F.sum("n")).first()[0] or 0) // HEAVY_LISTS)
-    # at most HEAVY_LISTS rows, as each has more than its share of the postings
-    heavy = sizes.where(F.col("n") > longest).select("word", F.ceil(F.col("n") / longest).cast("int").alias("blocks"))
+    # each has more than its share of the postings
+    return sizes.where(F.col("n") > longest).select("word", F.ceil(F.col("n") / longest).cast("int").alias("blocks"))
+
+
+def cells(index: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Postings with ``i, j, block``: the ``heavy`` lists as all pairs of blocks, the rest as one cell."""
     dealt = index.join(F.broadcast(heavy), "word", "left")
     block = F.coalesce(F.pmod(F.xxhash64(*AT), F.col("blocks")), F.lit(0)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
@@ -161,8 +165,8 @@ def cells(index: DataFrame) -> DataFrame:
     return dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
 
 
-def earlier_candidates(run, place, size, sketch, block, threshold: float, skip: int, most: int | None):
-    """Pairs (row, earlier row) that may be similar, and the rows with more than ``most`` left.
+def earlier_candidates(run, place, size, sketch, block, asked, threshold: float, skip: int, most: int | None):
+    """Pairs (``asked`` row, earlier row) that may be similar, and the rows with more than ``most`` left.
 
     Rows stand in runs, in corpus order within each; all runs are compared at once, at
     distance 1, 2, ... The first ``skip`` candidates of a row are passed over.
@@ -175,7 +179,7 @@ def earlier_candidates(run, place, size, sketch, block, threshold: float, skip:
     after = size - place
     seen = np.zeros(len(run), np.int64)
     rows, others, cut_off = ([np.empty(0, np.int64)] for _ in range(3))
-    at, step = np.arange(len(run)), 1
+    at, step = np.flatnonzero(asked), 1
     while len(at := at[at - step >= first[at]]):
         a, b = at, at - step
         need = least_overlap(size[a], size[b], threshold)
@@ -198,10 +202,10 @@ def earlier_candidates(run, place, size, sketch, block, threshold: float, skip:
     return np.concatenate(rows), np.concatenate(others), np.concatenate(cut_off)
 
 
-def candidates(index: DataFrame, threshold: float, skip: int, most: int | None) -> DataFrame:
-    """``a_*`` and an earlier ``b_*`` (places in the corpus); ``more`` (b null): ``a`` has further ones."""
+def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int, most: int | None) -> DataFrame:
+    """``a_*``, open, and an earlier ``b_*`` (places in the corpus); ``more`` (b null): ``a`` has further ones."""
     key = ["word", "i", "j"]
-    ordered = cells(index).repartition(*key).sortWithinPartitions(*key, order())
+    ordered = cells(index, heavy).repartition(*key).sortWithinPartitions(*key, order())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a_doc_id", "a_text_hash", "a_line", "b_doc_id", "b_text_hash", "b_line", "more"]
@@ -215,7 +219,7 @@ def candidates(index: DataFrame, threshold: float, skip: int, most: int | None)
                 return
             place, size, sketch, block = (table[c].to_numpy() for c in ("place", "size", "sketch", "block"))
             rows, others, cut_off = earlier_candidates(
-                runs(table), place, size, sketch.view(np.uint64), block, threshold, skip, most
+                runs(table), place, size, sketch.view(np.uint64), block, table["open"].to_numpy(), threshold, skip, most
             )
             if len(rows) or len(cut_off):
                 a = table.select(AT).take(pa.array(np.concatenate([rows, cut_off])))
@@ -270,16 +274,19 @@ def verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFram
 
 def matched(classes: DataFrame, threshold: float) -> DataFrame:
     """``a_*``: places of the classes of which an earlier one is similar enough."""
-    index = postings(classes, rarity(classes), threshold)
-    pairs = freeze(candidates(index, threshold, 0, FIRST), "line-candidates")
+    counts = rarity(classes)
+    index = postings(classes.withColumn("open", F.lit(True)), counts, threshold)
+    heavy = long_lists(index)
+    pairs = freeze(candidates(index, heavy, threshold, 0, FIRST), "line-candidates")
     found = freeze(verified(pairs.where("not more"), classes, threshold), "line-matches")
     left = pairs.where("more").select("a_doc_id", "a_text_hash", "a_line").distinct()
     left = left.join(found.toDF("p_doc_id", "p_text_hash", "p_line"), _same("a_", "p_"), "left_anti")
     left = freeze(left, "line-undecided")
     if left.isEmpty():
         return found
-    rest = candidates(index, threshold, FIRST, None)
-    rest = rest.join(left.toDF("p_doc_id", "p_text_hash", "p_line"), _same("a_", "p_"), "left_semi")
+    undecided = left.toDF("p_doc_id", "p_text_hash", "p_line").withColumn("open", F.lit(True))
+    marked = classes.join(undecided, _same("", "p_"), "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    rest = candidates(postings(marked, counts, threshold), heavy, threshold, FIRST, None)
     return found.union(verified(rest, classes, threshold))
 
 
