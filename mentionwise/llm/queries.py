@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionwise.llm import bpe, chat, decontamination, language, lines, quality, simhash, token_counts, toxicity, urls
-from mentionwise.session import configure
+from mentionwise.llm import (
+    alignment, bpe, chat, decontamination, language, lines, merkle, quality, simhash, token_counts, toxicity, urls, warc,
+)
+from mentionwise.session import configure, scratch_path
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -107,6 +109,35 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.predict(_table(spark, d, "documents"), _table(spark, d, "labels"))
 
 
+def op11_alignment(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    found = alignment.linked(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.scored(found.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op12_merkle(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    more = F.when(tampered, F.col("n_chars").cast("decimal(38,0)") + 1)
+    made = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], changed={"n_chars": more})
+    return merkle.verified(made).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.concat("proof", "group_proof"), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+def op13_warc(spark: SparkSession, d: str) -> DataFrame:
+    pages, path = _table(spark, d, "pages"), scratch_path(spark, "archives")
+    warc.write_archives(warc.records_of(pages), path)
+    found = warc.read_archives(spark, path, {"payload_bytes": lambda p: F.octet_length(p).cast("long"), "sha1": F.sha1})
+    kind = pages.schema["page_id"].dataType
+    return warc.resolved(found, ["payload_bytes", "sha1"]).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", warc.base32(F.col("sha1")).alias("payload_digest"),
+        "record_type", F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
@@ -115,4 +146,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts, "op2_line_dedup": op2_line_dedup, "op3_bpe": op3_bpe, "op4_decontamination": op4_decontamination, "op5_language": op5_language,
         "op6_urls": op6_urls, "op7_simhash": op7_simhash, "op8_quality": op8_quality,
         "op9_chat": op9_chat, "op10_toxicity": op10_toxicity,
+        "op11_alignment": op11_alignment, "op12_merkle": op12_merkle, "op13_warc": op13_warc,
     }
