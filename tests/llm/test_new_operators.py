@@ -145,6 +145,8 @@ def plain_leaf(values):
 
 def plain_manifest(docs, fanout=2):
     """Rows (doc_id, leaf, subroot, root, proof) in any order."""
+    if not docs:
+        return []
     groups = defaultdict(list)
     for doc_id, text, lang, source, n in docs:
         groups[lang].append((doc_id is not None, doc_id or 0, plain_leaf((doc_id, source, lang, n, text)), doc_id))
