@@ -34,8 +34,9 @@ from mentionwise.session import shuffle_partitions
 
 # levels that are built from one run of consecutive nodes in one task
 LEVELS_AT_ONCE = 9
-# the segments of ancestors are broadcast below so many bytes
-BROADCAST_BYTES = 16 * 1024 * 1024
+# a table of ancestors is broadcast if it takes up to so many bytes, with so many for a row beside its segment
+BROADCAST_BYTES = 8 * 1024 * 1024
+ROW_BYTES = 96
 HEX = 64
 
 
@@ -164,7 +165,7 @@ def proofs(nodes: DataFrame, fanout: int, steps: Scratch) -> DataFrame:
         upper = nodes.where(F.col("level") % (2 * distance) == distance).select(
             F.col("tree").alias("t"), (F.col("level") - distance).alias("l"), F.col("no").alias("up"), F.col("seg").alias("more")
         )
-        if upper.count() * distance * (fanout - 1) * HEX // 2 <= BROADCAST_BYTES:
+        if upper.count() * (ROW_BYTES + distance * (fanout - 1) * HEX // 2) <= BROADCAST_BYTES:
             upper = F.broadcast(upper)
         above = F.floor(F.col("no") / F.lit(fanout ** distance)).cast("long") if fanout ** distance < 1 << 62 else F.lit(0)
         lands = (F.col("tree") == F.col("t")) & (F.col("level") == F.col("l")) & (above == F.col("up"))
