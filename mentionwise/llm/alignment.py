@@ -9,6 +9,11 @@ one, are cut by their decoded bytes. Places where tokens of both end cut a text
 groups. Every A token is linked with every B token of its group, and every id pair is
 weighed by the number of documents that hold it linked.
 
+Neither tokenizer has a token, nor a cut that depends on one, across a space behind a
+visible character (this is checked of the files; where it does not hold, a text is one
+word). So a text is its words' groups in a row, each word with the space before it, and of
+a slice of texts only the distinct words go through the libraries, many at once.
+
 Counting goes by blocks of documents: a block holds each of its pairs once, with the
 number of its documents that hold it, so only distinct pairs of blocks are shuffled,
 and a block's documents meet its pairs' counts in one group. A group of very many
@@ -25,8 +30,12 @@ vocabulary and may be broadcast.
 
 from __future__ import annotations
 
+import json
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +51,18 @@ from mentionwise.llm.scratch import Scratch
 
 # a block of documents is closed beyond so many pairs of its documents
 BLOCK_PAIRS = 400_000
+# texts are handled in slices of about so many characters
+SLICE_CHARS = 4_000_000
+# words that occur again are kept for later slices, up to about so many
+WORDS_KEPT = 150_000
+# words of up to so many characters go through the libraries together, so many characters at once
+SHORT_WORD, JOINED_CHARS = 64, 100_000
 # a group with more links than this is paired by distinct ids
 PAIRED_AT_ONCE = 4096
 
+# a space at which a text is not cut: letters, digits and ASCII signs before one are no white space to either library
+UNCUT_SPACE = re.compile(r"(?:^|[^!-~\w]) | $").search
+
 SPANS = "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>, cuts array<int>"
 LINKED = (
     "n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -94,13 +112,85 @@ class Aligner:
             bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
             for i in range(self.b.get_piece_size()) for piece in [self.b.id_to_piece(i)]
         ]
+        self.apart = self._words_stand_alone(path_a)
         self.width_a, self.width_b = (np.fromiter(map(len, t), np.int64, len(t)) for t in (self.bytes_a, self.bytes_b))
 
+    def _words_stand_alone(self, path_a: str) -> bool:
+        """Whether both tokenizers cut a text before each space that follows a visible character."""
+        with open(path_a, encoding="utf-8") as f:
+            spec = json.load(f)
+        cutter = spec.get("pre_tokenizer") or {}
+        a_cuts = (
+            cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not spec.get("normalizer")
+            and all(t.get("special") for t in spec.get("added_tokens", []))
+        )
+        pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
+        return bool(a_cuts) and not any("▁" in piece.lstrip("▁") for piece in pieces)
+
+    def words(self, text: str) -> list[str]:
+        """Space + text, cut before each space that follows a visible character."""
+        if not self.apart:
+            return [" " + text]
+        if not UNCUT_SPACE(text):
+            return [" " + part for part in text.split(" ")]
+        words: list[str] = []
+        joins = False
+        for part in text.split(" "):
+            if joins:
+                words[-1] += " " + part
+            else:
+                words.append(" " + part)
+            joins = bool(UNCUT_SPACE(part + " x"))
+        if len(words) > 1 and words[-1] == " ":
+            # B puts no space before nothing
+            words[-2:] = [words[-2] + " "]
+        return words
+
+    def table(self, words: list[str], at_once: int = PAIRED_AT_ONCE) -> Words:
+        """The groups of distinct words, in their order."""
+        made = Words(len(words))
+        # a word that ends in white space would run on into the next one
+        short = [i for i, w in enumerate(words) if len(w) <= SHORT_WORD and self.apart and not w[-1].isspace()]
+        start, size = 0, 0
+        for k, i in enumerate(short):
+            size += len(words[i])
+            if size >= JOINED_CHARS or k == len(short) - 1:
+                self._put(made, words, short[start:k + 1], at_once)
+                start, size = k + 1, 0
+        for i in set(range(len(words))).difference(short):
+            self._put(made, words, [i], at_once)
+        made.close()
+        return made
+
+    def _put(self, made: Words, words: list[str], at: list[int], at_once: int) -> None:
+        """Cuts the words numbered ``at`` as one text; if that does not come back, in halves."""
+        found = self._cut("".join([words[i] for i in at]))
+        if found is None:
+            if len(at) > 1:
+                self._put(made, words, at[:len(at) // 2], at_once)
+                self._put(made, words, at[len(at) // 2:], at_once)
+            return
+        a_ids, a_ends, b_ids, b_ends, cuts = found
+        ga, gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        # each word ends with a group
+        last = np.searchsorted(cuts, np.cumsum([len(words[i].encode()) for i in at]))
+        by_a, by_b = np.searchsorted(last, ga), np.searchsorted(last, gb)
+        texts = groups_text(a_ids, ga, b_ids, gb, last).split("\n")
+        if len(at) == 1:
+            pairs, weights = links(a_ids, ga, b_ids, gb, len(cuts), at_once)
+            of = np.zeros(len(pairs), np.int64)
+        else:
+            left, right = paired(ga, gb, np.bincount(ga), np.bincount(gb))
+            pairs, weights, of = a_ids[left] << 32 | b_ids[right], np.ones(len(left), np.int64), by_a[left]
+        n = len(at)
+        counts = np.bincount(by_a, minlength=n), np.bincount(by_b, minlength=n), np.diff(last, prepend=-1)
+        made.put(at, counts, texts, np.bincount(of, minlength=n), pairs, weights)
+
     def spans(self, text: str | None) -> tuple[np.ndarray, ...] | None:
         """``a_ids, a_ends, b_ids, b_ends, cuts`` over the bytes of space + text; none if they do not give it back."""
-        if not text:
-            return None
-        text = " " + text
+        return self._cut(" " + text) if text else None
+
+    def _cut(self, text: str) -> tuple[np.ndarray, ...] | None:
         raw = text.encode()
         coded = self.a.encode(text, add_special_tokens=False)
         ids = coded.ids
@@ -111,19 +201,94 @@ class Aligner:
         if len(raw) > len(text):
             a_spans = char_starts(text)[a_spans]
         pieces = self.b.encode(text[1:], return_type="proto", num_threads=1).pieces
-        ids = [p.id for p in pieces]
+        pieces = list(pieces)
+        ids = list(map(attrgetter("id"), pieces))
         if b"".join(map(self.bytes_b.__getitem__, ids)) != raw:
             return None
         b_ids = np.array(ids, np.int64)
         # the spans of B lack the space before the text
-        b_begins = np.fromiter((p.begin for p in pieces), np.int64, len(ids)) + 1
-        b_ends = np.fromiter((p.end for p in pieces), np.int64, len(ids)) + 1
+        b_begins = np.fromiter(map(attrgetter("begin"), pieces), np.int64, len(ids)) + 1
+        b_ends = np.fromiter(map(attrgetter("end"), pieces), np.int64, len(ids)) + 1
         b_begins[0] = 0
         a_ends = refined(a_spans[0::2], a_spans[1::2], self.width_a[a_ids])
         b_ends = refined(b_begins, b_ends, self.width_b[b_ids])
         return a_ids, a_ends, b_ids, b_ends, np.intersect1d(a_ends, b_ends, assume_unique=True)
 
 
+class Words:
+    """Counts, groups and links of distinct words."""
+
+    def __init__(self, n: int):
+        self.good = np.zeros(n, bool)
+        self.counts = np.zeros((3, n), np.int64)
+        self.texts = [""] * n
+        self.first, self.size = np.zeros((2, n), np.int64)
+        self._pairs: list[np.ndarray] = []
+        self._weights: list[np.ndarray] = []
+        self._held = 0
+
+    def put(
+        self, at: list[int], counts: tuple[np.ndarray, ...], texts: list[str], size: np.ndarray, pairs: np.ndarray,
+        weights: np.ndarray,
+    ) -> None:
+        self.good[at] = True
+        for own, n in zip(self.counts, counts, strict=True):
+            own[at] = n
+        for i, text in zip(at, texts, strict=True):
+            self.texts[i] = text
+        self.size[at] = size
+        self.first[at] = self._held + np.cumsum(size) - size
+        self._held += len(pairs)
+        self._pairs.append(pairs)
+        self._weights.append(weights)
+
+    def close(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.pairs, self.weights = np.concatenate([none, *self._pairs]), np.concatenate([none, *self._weights])
+
+    def chosen(self, at: np.ndarray) -> Words:
+        """Some of the words, in this order."""
+        made, size = Words(len(at)), self.size[at]
+        made.good, made.counts, made.texts = self.good[at], self.counts[:, at], [self.texts[i] for i in at.tolist()]
+        ends = np.cumsum(size)
+        made.first, made.size = ends - size, size
+        links_at = np.repeat(self.first[at] - made.first, size) + np.arange(size.sum())
+        made.pairs, made.weights = self.pairs[links_at], self.weights[links_at]
+        return made
+
+    def followed_by(self, other: Words) -> Words:
+        made = Words(0)
+        made.good, made.counts = np.concatenate([self.good, other.good]), np.hstack([self.counts, other.counts])
+        made.texts = self.texts + other.texts
+        made.first = np.concatenate([self.first, other.first + len(self.pairs)])
+        made.size = np.concatenate([self.size, other.size])
+        made.pairs = np.concatenate([self.pairs, other.pairs])
+        made.weights = np.concatenate([self.weights, other.weights])
+        return made
+
+    def document(self, words: np.ndarray) -> tuple[tuple, np.ndarray, np.ndarray] | None:
+        """Facts, distinct pairs and their links of a text of these words."""
+        if not len(words) or not self.good[words].all():
+            return None
+        distinct, times = np.unique(words, return_counts=True)
+        size = self.size[distinct]
+        ends = np.cumsum(size)
+        at = np.repeat(self.first[distinct] - ends + size, size) + np.arange(ends[-1])
+        pairs, weights = summed(self.pairs[at], self.weights[at] * np.repeat(times, size))
+        n_a, n_b, n_groups = self.counts[:, words].sum(axis=1).tolist()
+        text = ";".join(map(self.texts.__getitem__, words.tolist()))
+        return (n_a, n_b, n_groups, int(weights.sum()), text), pairs, weights
+
+
+def paired(ga: np.ndarray, gb: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the A and B tokens that share a group, of A tokens whose groups ``nb`` has not set to 0."""
+    partners = nb[ga]
+    left = np.repeat(np.arange(len(ga)), partners)
+    within = np.arange(len(left)) - np.repeat(np.cumsum(partners) - partners, partners)
+    first_b = np.searchsorted(gb, np.arange(len(na)))
+    return left, first_b[ga[left]] + within
+
+
 def links(
     a_ids: np.ndarray, ga: np.ndarray, b_ids: np.ndarray, gb: np.ndarray, groups: int, at_once: int = PAIRED_AT_ONCE
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -131,34 +296,41 @@ def links(
     na, nb = np.bincount(ga, minlength=groups), np.bincount(gb, minlength=groups)
     large = na * nb > at_once
     first_a, first_b = np.cumsum(na) - na, np.cumsum(nb) - nb
-    mine = np.flatnonzero(~large[ga])
-    partners = nb[ga[mine]]
-    left = np.repeat(mine, partners)
-    within = np.arange(len(left)) - np.repeat(np.cumsum(partners) - partners, partners)
-    pairs = [a_ids[left] << 32 | b_ids[first_b[ga[left]] + within]]
+    left, right = paired(ga, gb, na, np.where(large, 0, nb))
+    pairs = [a_ids[left] << 32 | b_ids[right]]
     weights = [np.ones(len(left), np.int64)]
     for g in np.flatnonzero(large).tolist():
         a, n = np.unique(a_ids[first_a[g]:first_a[g] + na[g]], return_counts=True)
         b, m = np.unique(b_ids[first_b[g]:first_b[g] + nb[g]], return_counts=True)
         pairs.append((a[:, None] << 32 | b).ravel())
         weights.append((n[:, None] * m).ravel())
-    pairs, weights = np.concatenate(pairs), np.concatenate(weights)
+    return summed(np.concatenate(pairs), np.concatenate(weights))
+
+
+def summed(pairs: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs, sorted, and the sums of their weights."""
     order = np.argsort(pairs, kind="stable")
     pairs, weights = pairs[order], weights[order]
-    edges = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    edges = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
     return pairs[edges], np.add.reduceat(weights, edges)
 
 
-def groups_text(a_ids: np.ndarray, ga: np.ndarray, b_ids: np.ndarray, gb: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
+def groups_text(
+    a_ids: np.ndarray, ga: np.ndarray, b_ids: np.ndarray, gb: np.ndarray, last: np.ndarray | None = None
+) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order; a line end instead behind the groups in ``last``."""
     ids = np.empty(len(a_ids) + len(b_ids), np.int64)
-    marks = np.empty(len(ids), "<U1")
+    # which of the marks , | ; and line end follows a token
+    marks = np.zeros(len(ids), np.int64)
     at_a = np.arange(len(ga)) + np.searchsorted(gb, ga, side="left")
     at_b = np.arange(len(gb)) + np.searchsorted(ga, gb, side="right")
     ids[at_a], ids[at_b] = a_ids, b_ids
-    marks[at_a] = np.where(np.r_[ga[1:] != ga[:-1], True], "|", ",")
-    marks[at_b] = np.where(np.r_[gb[1:] != gb[:-1], True], ";", ",")
-    return "".join(chain.from_iterable(zip(map(str, ids.tolist()), marks.tolist())))[:-1]
+    marks[at_a] = np.concatenate([ga[1:] != ga[:-1], [True]])
+    ends = np.flatnonzero(np.concatenate([gb[1:] != gb[:-1], [True]]))
+    marks[at_b[ends]] = 2
+    if last is not None:
+        marks[at_b[ends[last]]] = 3
+    return "".join(chain.from_iterable(zip(map(str, ids.tolist()), map(",|;\n".__getitem__, marks.tolist()))))[:-1]
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -189,22 +361,16 @@ def spans(text: Column, path_a: str, path_b: str) -> Column:
 class Block:
     """Documents of one Arrow batch up to about BLOCK_PAIRS pairs."""
 
-    def __init__(self, at_once: int = PAIRED_AT_ONCE) -> None:
-        self.at_once = at_once
+    def __init__(self) -> None:
         self.facts: list[tuple[int, int, int, int, str]] = []
         self.pairs: list[np.ndarray] = []
         self.weights: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, found: tuple[np.ndarray, ...] | None) -> None:
-        if found is None:
-            self.facts.append((0, 0, 0, 0, ""))
-            pairs = weights = np.zeros(0, np.int64)
-        else:
-            a_ids, a_ends, b_ids, b_ends, cuts = found
-            ga, gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
-            pairs, weights = links(a_ids, ga, b_ids, gb, len(cuts), self.at_once)
-            self.facts.append((len(a_ids), len(b_ids), len(cuts), int(weights.sum()), groups_text(a_ids, ga, b_ids, gb)))
+    def add(self, found: tuple[tuple, np.ndarray, np.ndarray] | None) -> None:
+        none = np.zeros(0, np.int64)
+        facts, pairs, weights = found or ((0, 0, 0, 0, ""), none, none)
+        self.facts.append(facts)
         self.pairs.append(pairs)
         self.weights.append(weights)
         self.size += len(pairs)
@@ -230,6 +396,41 @@ class Block:
         ]
 
 
+class Documents:
+    """Facts, pairs and links of texts (see ``Words.document``), slice by slice."""
+
+    def __init__(self, model: Aligner, at_once: int = PAIRED_AT_ONCE, words_kept: int = WORDS_KEPT):
+        self.model, self.at_once, self.words_kept = model, at_once, words_kept
+        self.index: dict[str, int] = {}
+        self.known = Words(0)
+        self.known.close()
+
+    def of(self, texts: pa.Array) -> Iterator[tuple | None]:
+        start, size = 0, 0
+        for at, length in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+            size += length
+            if size >= SLICE_CHARS or at == len(texts) - 1:
+                yield from self._slice(texts[start:at + 1].to_pylist())
+                start, size = at + 1, 0
+
+    def _slice(self, texts: list[str | None]) -> Iterator[tuple | None]:
+        held = len(self.index)
+        # a new word takes the next number
+        index = defaultdict(None, self.index)
+        index.default_factory = index.__len__
+        cut = [np.array(list(map(index.__getitem__, self.model.words(t))) if t else [], np.int64) for t in texts]
+        words = list(index)
+        table = self.known.followed_by(self.model.table(words[held:], self.at_once))
+        yield from map(table.document, cut)
+        times = np.bincount(np.concatenate(cut), minlength=len(words))
+        again = times > 1
+        kept = np.flatnonzero(again | (np.arange(len(words)) < held))
+        if len(kept) > self.words_kept:
+            kept = np.flatnonzero(again)[:self.words_kept]
+        self.known = table.chosen(kept)
+        self.index = {words[i]: k for k, i in enumerate(kept.tolist())}
+
+
 def carried(docs: DataFrame, text: str, results: str) -> list[str]:
     taken = {f.name for f in StructType.fromDDL(results)} | {text}
     return [c for c in docs.columns if c not in taken]
@@ -264,17 +465,17 @@ def linked(
     fields = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = aligner(path_a, path_b)
+        documents = Documents(aligner(path_a, path_b), paired_at_once)
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            block, start = Block(paired_at_once), 0
-            for at, text in enumerate(texts):
-                block.add(model.spans(text.as_py()))
+            block, start = Block(), 0
+            for at, found in enumerate(documents.of(texts)):
+                block.add(found)
                 if block.size >= block_pairs or at == batch.num_rows - 1:
                     kept = batch.slice(start, at + 1 - start).columns[:-1]
                     yield pa.RecordBatch.from_arrays([*kept, *block.columns(number)], fields)
-                    block, start, number = Block(paired_at_once), at + 1, number + 1
+                    block, start, number = Block(), at + 1, number + 1
 
     return named(rows.mapInArrow(run, schema), names)
 

@@ -7,6 +7,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,6 +110,26 @@ def test_spans_cut_whole_characters_and_single_bytes():
             assert all(held)
 
 
+@pytest.mark.parametrize("words_kept", [100, 100_000])
+def test_words_cut_alone_give_the_cuts_of_the_whole_text(words_kept):
+    model = alignment.aligner(*PATHS)
+    assert model.apart
+    read = alignment.Documents(model, words_kept=words_kept)
+    rng = random.Random(8)
+    parts = ["a", "B", " ", "  ", "\n", "\t", "\u3000", "\x85", "\x1c", "\u200b", "\u180e", "1", "!", "'s", "é", "日", "\u0301", "½", "\xa0"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)] + ["", " ", "a▁b c", "x" * 300 + " b"]
+    for text, found in zip(texts * 2, [*read.of(pa.array(texts)), *read.of(pa.array(texts))], strict=True):
+        whole = model.spans(text)
+        if whole is None:
+            assert found is None, repr(text)
+            continue
+        a_ids, a_ends, b_ids, b_ends, cuts = whole
+        ga, gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        pairs, weights = alignment.links(a_ids, ga, b_ids, gb, len(cuts))
+        same = found[0][:3] == (len(a_ids), len(b_ids), len(cuts)) and found[0][4] == alignment.groups_text(a_ids, ga, b_ids, gb)
+        assert same and found[1].tolist() == pairs.tolist() and found[2].tolist() == weights.tolist(), repr(text)
+
+
 def test_alignment_clashing_columns_and_empty_table(spark):
     schema = "doc_id long, text string, n_a string, block string, `a.b` int, `at` int"
     found = alignment.scored(alignment.linked(spark.createDataFrame([(1, "two words", "x", "y", 3, 4)], schema), *PATHS))
