@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -352,5 +353,32 @@ def decode(ids: Column, path: str) -> Column:
     return run.asNondeterministic()(ids)
 
 
+def round_trip(text: Column, path: str) -> Column:
+    """Struct ``ids, decoded``: a text's tokens and the text decoded from them, by one encoder in one pass."""
+
+    @arrow_udf("ids binary, decoded string")
+    def run(texts: pa.Array) -> pa.Array:
+        model, ids, decoded = encoder(path), [], []
+        for start, end in runs(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+            found = model.encode(texts[start:end].to_pylist())
+            ids.append(pa.array(found, pa.binary()))
+            decoded.append(pa.array([model.decode(f) for f in found], pa.string()))
+        empty = pa.array([], pa.binary()), pa.array([], pa.string())
+        columns = [pa.concat_arrays([e, *parts]) for e, parts in zip(empty, (ids, decoded), strict=True)]
+        return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
+
+    return run.asNondeterministic()(text)
+
+
+def runs(lengths: list[int]) -> Iterable[tuple[int, int]]:
+    """Bounds of runs of texts of about SLICE_CHARS bytes, so that few texts are Python objects at once."""
+    start, size = 0, 0
+    for at, length in enumerate(lengths, 1):
+        size += length
+        if size >= SLICE_CHARS or at == len(lengths):
+            yield start, at
+            start, size = at, 0
+
+
 def n_tokens(ids: Column) -> Column:
     return (F.octet_length(ids) / 4).cast("long")

@@ -52,10 +52,8 @@ def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, d: str) -> DataFrame:
-    path = tokenizer_path()
     docs = _table(spark, d, "documents")
-    coded = docs.select("doc_id", bpe.encode(F.col("text"), path).alias("ids"))
-    coded = coded.withColumn("decoded", bpe.decode(F.col("ids"), path))
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), tokenizer_path()).alias("c")).select("doc_id", "c.*")
     return coded.select(
         "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

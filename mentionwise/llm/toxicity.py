@@ -23,7 +23,7 @@ import re
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -132,19 +132,11 @@ class Model:
         if self.trees is None:
             return docs.withColumn("score", F.lit(self.share))
         scored = self.trees.transform(with_features(docs, self.lexicon))
-        raw = vector_to_array("probability")[1]
+        scored = scored.withColumn("raw", vector_to_array("probability")[1])
         if self.isotonic is None:
-            return scored.withColumn("score", raw)
-        return scored.withColumn("score", calibrated(raw, self.isotonic))
-
-
-def calibrated(raw: Column, steps: list[tuple[float, float]]) -> Column:
-    """Piecewise linear through the (bound, value) pairs of the isotonic fit."""
-    found = F.lit(steps[-1][1])
-    for (x0, y0), (x1, y1) in reversed(list(zip(steps, steps[1:]))):
-        line = F.lit(y1) if x1 == x0 else F.lit(y0) + (raw - x0) * ((y1 - y0) / (x1 - x0))
-        found = F.when(raw <= x1, line).otherwise(found)
-    return F.when(raw <= steps[0][0], F.lit(steps[0][1])).otherwise(found)
+            return scored.withColumnRenamed("raw", "score")
+        # a binary search over the steps, however many there are
+        return self.isotonic.transform(scored).drop("raw")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
@@ -170,9 +162,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     raw = freeze(raw, "raw-scores")
     if raw.select("label").distinct().count() < 2:
         return Model(lexicon, trees, None, float(share))
-    fitted = IsotonicRegression(featuresCol="raw").fit(raw)
-    steps = list(zip(map(float, fitted.boundaries), map(float, fitted.predictions), strict=True))
-    return Model(lexicon, trees, steps, float(share))
+    return Model(lexicon, trees, calibration(raw), float(share))
+
+
+def calibration(raw: DataFrame) -> IsotonicRegressionModel:
+    """Raw scores to calibrated ones, from rows of ``raw`` and ``label``."""
+    return IsotonicRegression(featuresCol="raw", predictionCol="score").fit(raw)
 
 
 def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
