@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from mentionwise.functions.columns import date_parts
@@ -52,13 +52,18 @@ def decode_records(records: DataFrame) -> DataFrame:
     return decode_payloads(once(records, "payload", base64_text(F.col("data"))))
 
 
+def json_text(payload: Column) -> Column:
+    """A JSON text without the white space around it and a byte-order mark before it."""
+    bare = F.when(payload.startswith("\ufeff"), F.substring(payload, 2, 2**31 - 1)).otherwise(payload)
+    return F.btrim(bare, F.lit(" \t\r\n"))
+
+
 def decode_payloads(messages: DataFrame) -> DataFrame:
     """:func:`decode_records` for records whose ``payload`` is text already."""
     kept = [c for c in messages.columns if c != "payload"] + ["payload"]
 
     # one JSON object and nothing after it: as a one-element list, trailing text does not parse
-    # JSON's white space around it, and a byte-order mark before it, do not matter
-    text = F.regexp_replace("payload", r"^\uFEFF?[ \t\r\n]+|^\uFEFF|[ \t\r\n]+$", "")
+    text = json_text(F.col("payload"))
     listed = F.try_parse_json(F.when(
         text.startswith("{") & text.endswith("}"), F.concat(F.lit("["), text, F.lit("]"))
     ))
@@ -138,7 +143,7 @@ def status_counts(decoded: DataFrame) -> DataFrame:
     )
 
 
-def observe_quality(decoded: DataFrame, name: str = "quality") -> DataFrame:
+def observe_quality(decoded: DataFrame, name: str | Observation = "quality") -> DataFrame:
     """Attach processed / failed counters to the job that consumes ``decoded``."""
     failed = F.count_if(F.col("status") != STATUS_OK)
     return decoded.observe(
@@ -152,7 +157,7 @@ def with_related(feed: DataFrame) -> DataFrame:
     ``feed`` holds raw messages in ``payload``. A related tweet has no ``data`` key.
     """
     related = F.try_variant_get(
-        F.try_parse_json("payload"), "$.includes.tweets", "array<variant>"
+        F.try_parse_json(json_text(F.col("payload"))), "$.includes.tweets", "array<variant>"
     )
     return feed.withColumn(
         "payload",
@@ -164,13 +169,6 @@ def with_related(feed: DataFrame) -> DataFrame:
     )
 
 
-def to_records(messages: DataFrame, record_id: Column) -> DataFrame:
-    """JSON ``payload`` rows as ``(recordId, base64 data)`` records."""
-    return messages.select(
-        record_id.alias("recordId"), plain_base64(F.col("payload")).alias("data")
-    )
-
-
 def typed_tweets(text: Column) -> Column:
     """The fields the feed is asked for, as a typed struct."""
     return F.from_json(text, TWEET_FIELDS)

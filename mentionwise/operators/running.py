@@ -21,17 +21,20 @@ SLICE = "__slice"
 _ROW = "__is_row"
 
 
-def slice_by(df: DataFrame, order: list[str], slices: int | None = None) -> DataFrame:
+def slice_by(
+    df: DataFrame, order: list[str], slices: int | None = None, path: str | None = None
+) -> DataFrame:
     """Add ``__slice``: contiguous ranges of ``order``, numbered upwards.
 
     ``order`` should identify a row, so that equal leading values can still be
     split. The result is written once to the shared scratch folder: range
     bounds come from a sample, and every later pass must see the same slices.
+    ``path`` names another place, for a caller that deletes them.
     """
     # more slices than tasks, so that hashing them to tasks stays even
     slices = slices or 2 * shuffle_partitions(df.sparkSession)
     ranged = df.repartitionByRange(slices, *order).withColumn(SLICE, F.spark_partition_id())
-    return freeze(ranged, "slices")
+    return freeze(ranged, "slices", path)
 
 
 def _by_slice(df: DataFrame) -> DataFrame:

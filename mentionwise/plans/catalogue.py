@@ -18,26 +18,26 @@ from mentionwise.operators.ingest import (
     decode_payloads, decode_records, encode_records, good_tweets, match_rules, plain_base64, status_counts,
     typed_tweets, with_related,
 )
-from mentionwise.operators.totals import daily_player_totals, daily_player_totals_sql
+from mentionwise.operators.totals import daily_player_totals
 from mentionwise.operators.windows import (
     classify, detect, detection_records, firings, hop_mentions, hop_rows, late_rows, windowed_rows,
     windowed_rows_with_refires, with_clock,
 )
 from mentionwise.plans import jobs, workload
-from mentionwise.schemas import DATE_PARTS, HOP_COUNTS, TOTALS, TWEETS_TABLE
+from mentionwise.schemas import DATE_PARTS, DETECTION, HOP_COUNTS, RAW_TOTALS, TOTALS, TWEETS_TABLE
 from mentionwise.session import configure, freeze, scratch_path
 from mentionwise.sinks.writers import (
-    Landing, event_lines, notifications, run_available, write_batch, write_partitioned_json,
+    Landing, event_lines, notifications, read_version, run_available, write_batch, write_partitioned_json,
 )
 from mentionwise.sources.catalog import (
     create_json_table, discover_schema, insert_totals, register_tweets, schema_drift,
 )
 from mentionwise.sources.incremental import run_incremental
 from mentionwise.sources.readers import (
-    read_players, read_tweets, stream_control, stream_json, stream_tweets,
+    players_table, read_players, read_tweets, stream_control, stream_json, stream_tweets,
     tweet_view,
 )
-from mentionwise.streaming.detector import Detector
+from mentionwise.streaming.detector import Detector, committed
 from mentionwise.streaming.replay import replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,8 +85,7 @@ def daily_totals(spark, d):
 
 @query
 def daily_totals_one_day(spark, d):
-    workload.annotated_tweets(spark, d).createOrReplaceTempView("annotated_tweets")
-    return daily_player_totals_sql(spark, "annotated_tweets", *TOTALS_DAY)
+    return daily_player_totals(workload.annotated_tweets(spark, d), *TOTALS_DAY)
 
 
 @query
@@ -324,24 +323,42 @@ def notify_records(spark, d):
 
 # ---- sinks, catalog and re-runs ---------------------------------------------
 
-def _landed(spark, d):
+def _landed(spark, d, feeds: int = 1):
+    """The feed, dealt to as many checkpoints, all landing in the same folders."""
     feed, root = scratch_path(spark, "feed"), scratch_path(spark, "landed")
-    workload.feed_messages(spark, d).select("payload").write.text(feed)
-    jobs.land_tweets(
-        spark.readStream.text(feed).withColumnRenamed("value", "payload"),
-        f"{root}/tweets", f"{root}/errors", f"{root}/originals", f"{root}/checkpoint",
-    )
+    for n in range(feeds):
+        part = workload.feed_messages(spark, d).where(F.pmod("event_id", F.lit(feeds)) == n)
+        part.select("payload").write.text(f"{feed}/{n}")
+        jobs.land_tweets(
+            spark.readStream.text(f"{feed}/{n}").withColumnRenamed("value", "payload"),
+            f"{root}/tweets", f"{root}/errors", f"{root}/originals", f"{root}/checkpoint/{n}", f"{root}/counts",
+        )
     return root
 
 
-@query
-def landed_tweets(spark, d):
-    landed = read_tweets(spark, f"{_landed(spark, d)}/tweets")
+def _landed_days(spark, root):
+    landed = read_tweets(spark, f"{root}/tweets")
     return landed.groupBy(*DATE_PARTS).agg(
         F.count("*").alias("tweets"), F.count("users").alias("main_tweets")
     )
 
 
+@query
+def landed_tweets(spark, d):
+    return _landed_days(spark, _landed(spark, d))
+
+
+@query
+def landed_two_runs(spark, d):
+    return _landed_days(spark, _landed(spark, d, feeds=2))
+
+
+@query
+def landed_accounting(spark, d):
+    counts = spark.read.parquet(f"{_landed(spark, d, feeds=2)}/counts")
+    return counts.agg(F.sum("processed").alias("processed"), F.sum("failed").alias("failed"))
+
+
 @query
 def landed_errors(spark, d):
     root = scratch_path(spark, "landed")
@@ -371,6 +388,28 @@ def deduped_table(spark, d):
     return daily_player_totals(spark.table(name))
 
 
+@query
+def deduped_extra_fields(spark, d):
+    """Fields that no schema names, nested ones too, after duplicate removal."""
+    root = scratch_path(spark, "dedupe")
+    k = F.col("k")
+    tweets = workload.flat_tweets(spark, d).join(
+        workload.tweet_events(spark, d).select("event_id", "k"), "event_id"
+    ).withColumns({
+        "public_metrics": F.struct((k * 2).alias("like_count"), F.array(k, k + 1).alias("by_day")),
+        "extra": F.struct(k.alias("k")),
+    }).drop("k")
+    again = tweets.where(F.pmod("event_id", F.lit(5)) == 0)
+    write_partitioned_json(tweets.unionByName(again).drop("event_id"), f"{root}/raw")
+    jobs.dedupe_tweets(spark, f"{root}/raw", f"{root}/clean", f"extra_{root.rsplit('-', 1)[1]}")
+    body = F.try_parse_json("value")
+    return spark.read.text(f"{root}/clean").select(
+        F.try_variant_get(body, "$.id", "string").alias("id"), F.try_variant_get(body, "$.extra.k", "bigint").alias("k"),
+        F.try_variant_get(body, "$.public_metrics.like_count", "bigint").alias("likes"),
+        F.try_variant_get(body, "$.public_metrics.by_day[1]", "bigint").alias("second_day"), *DATE_PARTS,
+    )
+
+
 @query
 def totals_table(spark, d):
     root = scratch_path(spark, "totals")
@@ -382,16 +421,23 @@ def totals_table(spark, d):
     return spark.table(name)
 
 
-@query
-def warehouse_load(spark, d):
+def _warehouse(spark, d, loads: int = 1) -> str:
     root = scratch_path(spark, "warehouse")
-    raw = workload.raw_totals(spark, d)
-    raw.select(
-        *[F.col(c) for c in ("year", "month", "day", "player")], F.col("total").cast("int")
-    ).write.json(f"{root}/totals")
-    for _ in range(2):
+    workload.raw_totals(spark, d).write.json(f"{root}/totals")
+    for _ in range(loads):
         jobs.load_totals(spark, f"{root}/totals", f"{root}/table", f"{root}/rejected")
-    return spark.read.parquet(f"{root}/table").groupBy("year", "month").agg(
+    return root
+
+
+@query
+def warehouse_rejects(spark, d):
+    """What the load refused, values as they were written."""
+    return spark.read.schema(f"{RAW_TOTALS}, reject STRING").json(f"{_warehouse(spark, d)}/rejected")
+
+
+@query
+def warehouse_load(spark, d):
+    return read_version(spark, f"{_warehouse(spark, d, loads=3)}/table").groupBy("year", "month").agg(
         F.count("*").alias("loaded"), F.sum("total").alias("total")
     )
 
@@ -440,7 +486,7 @@ def incremental_totals(spark, d):
 
 @query
 def bookmark_paused(spark, d):
-    """A paused run sees only the second half; its batch takes the first run's place."""
+    """A paused run after an enabled one reads the second half; both outputs stay."""
     return _two_runs(spark, d, "enable", "pause")
 
 
@@ -499,7 +545,7 @@ def _detector_stream(spark, d, clock="global"):
     def run(tweets, changes, players, root):
         detector = Detector(f"{root}/out", f"{root}/state", T.window, T.lateness, T.delay, clock=clock)
         jobs.detect_tampering_stream(
-            tweets, changes, players, f"{root}/out", f"{root}/checkpoint", detector, salts=4
+            tweets, changes, players, f"{root}/out", f"{root}/checkpoint", detector
         )
 
     return f"{_stream(spark, d, run)}/out"
@@ -520,6 +566,42 @@ def windowed_stream_team_clock(spark, d):
     return _plain(spark.read.parquet(f"{_detector_stream(spark, d, 'team')}/windowed"))
 
 
+@query
+def detector_quarantine(spark, d):
+    """Mentions without a player, from the run that also gives the results."""
+    rows = committed(spark, _detector_stream(spark, d), "quarantine")
+    return rows.select("id", "src_account", "dst_name", "miss")
+
+
+@query
+def detector_result_lines(spark, d):
+    """The published JSON lines, read back."""
+    lines = committed(spark, _detector_stream(spark, d), "result_lines")
+    found = lines.select(F.from_json("value", DETECTION).alias("r")).select("r.*")
+    return found.withColumn("total", F.col("total").cast("bigint"))
+
+
+@query
+def detector_new_player(spark, d):
+    """Every seventh player joins between two runs; only mentions before that stay without them."""
+    root = scratch_path(spark, "new-player")
+    everyone, tweets = workload.players(spark, d), workload.stream_tweets(spark, d)
+    joins_later = F.pmod(F.col("account").cast("bigint"), F.lit(7)) == 3
+    span = tweets.agg(F.min("arrival").alias("a"), F.max("arrival").alias("b")).first()
+    first = F.col("arrival") <= ((span["a"] or 0) + (span["b"] or 0)) // 2
+    feeds = {"tweets": tweets, "control": workload.control_changes(spark, d)}
+    for part, known in ((first, ~joins_later), (~first, joins_later)):
+        everyone.where(known).write.mode("append").parquet(f"{root}/players")
+        for name, rows in feeds.items():
+            rows.where(part).write.mode("append").json(f"{root}/in/{name}")
+        jobs.detect_tampering_stream(
+            stream_tweets(spark, f"{root}/in/tweets"), stream_control(spark, f"{root}/in/control"),
+            lambda: players_table(spark.read.parquet(f"{root}/players")), f"{root}/out", f"{root}/checkpoint",
+            Detector(f"{root}/out", f"{root}/state", T.window, T.lateness, T.delay),
+        )
+    return committed(spark, f"{root}/out", "quarantine").select("id", "src_account", "dst_name", "miss")
+
+
 @query
 def quarantine_stream(spark, d):
     def run(tweets, _changes, players, root):

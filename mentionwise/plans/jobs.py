@@ -2,54 +2,70 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from mentionwise.operators.dedup import drop_duplicates
+from mentionwise.operators.dedup import latest_records, whole_records
 from mentionwise.operators.enrich import enrich, fits_broadcast, matched, mentions, quarantined
 from mentionwise.operators.gate import decode_control, gate, with_control
 from mentionwise.operators.ingest import decode_detections, with_related
-from mentionwise.operators.totals import daily_player_totals_sql
+from mentionwise.operators.totals import daily_player_totals
 from mentionwise.operators.windows import (
     classify, detect, detect_stream, hop_mentions, hop_rows, late_rows, windowed_rows, with_clock,
 )
 from mentionwise.schemas import (
-    DELAY_SECONDS, HOP_DELAY_SECONDS, HOP_SIZE_SECONDS, HOP_SLIDE_SECONDS, HOP_THRESHOLD,
-    LATENESS_SECONDS, TOTALS, TWEETS_TABLE, WINDOW_SECONDS,
+    DATE_PARTS, DELAY_SECONDS, HOP_DELAY_SECONDS, HOP_SIZE_SECONDS, HOP_SLIDE_SECONDS, HOP_THRESHOLD,
+    LATENESS_SECONDS, RAW_TOTALS, TWEETS_TABLE, WINDOW_SECONDS,
 )
 from mentionwise.sinks.writers import (
-    Landing, load_warehouse, notifications, run_available, write_partitioned_json,
+    Landing, load_warehouse, notifications, run_available, run_identity, with_arrival, write_text,
 )
 from mentionwise.sources.catalog import create_json_table, insert_totals, register_tweets
-from mentionwise.sources.incremental import run_incremental
-from mentionwise.sources.readers import read_tweets
+from mentionwise.sources.incremental import read_lines, run_incremental
 from mentionwise.streaming.detector import Detector
 from mentionwise.streaming.gate import gate_stream
 
 
 def land_tweets(
-    feed: DataFrame, out: str, errors: str, originals: str, checkpoint: str
+    feed: DataFrame, out: str, errors: str, originals: str, checkpoint: str, counts: str | None = None
 ) -> StreamingQuery:
-    """Feed messages (``payload``) and their related tweets into date partitions."""
-    return run_available(with_related(feed), checkpoint, Landing(out, errors, originals))
+    """Feed messages (``payload``) and their related tweets into date partitions.
+
+    Feeds with checkpoints of their own may land in the same folders.
+    """
+    run = run_identity(feed.sparkSession, checkpoint)
+    return run_available(with_related(with_arrival(feed)), checkpoint, Landing(out, errors, originals, run, counts))
 
 
 def dedupe_tweets(
     spark: SparkSession, source: str, out: str, table: str,
-    bookmark: str = "disable", checkpoint: str | None = None,
+    bookmark: str = "disable", checkpoint: str | None = None, broken: str | None = None,
 ) -> None:
     """Drop duplicate tweets by id, rewrite them by date, then register the new folders.
 
+    Records are rewritten as they came, with fields nobody declared; lines that are no
+    record go to ``broken``. A run of the bookmark writes under its own number (a
+    further partition, ``run``), so one that is repeated replaces what it had written.
     Registration comes last, so it happens only when the rewrite succeeded.
     """
-    def rewrite(rows: DataFrame, _: int) -> None:
-        write_partitioned_json(drop_duplicates(rows), out)
+    by_run = bookmark != "disable"
+
+    def rewrite(lines: DataFrame, run: int) -> None:
+        records = whole_records(lines)
+        kept = latest_records(records.where("is_record")).select("value", *DATE_PARTS)
+        if by_run:
+            write_text(kept, out, DATE_PARTS, run, name="run")
+        else:
+            kept.hint("rebalance", *DATE_PARTS).write.mode("append").partitionBy(*DATE_PARTS).text(out)
+        if broken:
+            records.where("NOT is_record").select("value").write.mode("overwrite").text(f"{broken}/run={run}")
 
-    if bookmark == "disable":
-        rewrite(read_tweets(spark, source), 0)
-    else:
-        run_incremental(spark, source, TWEETS_TABLE, checkpoint, rewrite, bookmark)
-    register_tweets(spark, table, out)
+    run_incremental(spark, source, read_lines, checkpoint, rewrite, bookmark)
+    keys = [*DATE_PARTS, "run"] if by_run else DATE_PARTS
+    register_tweets(spark, table, out, TWEETS_TABLE + (", run STRING" if by_run else ""), keys)
 
 
 def store_daily_totals(
@@ -58,7 +74,7 @@ def store_daily_totals(
 ) -> None:
     """Create the totals table if missing and append one day."""
     create_json_table(spark, totals, location)
-    insert_totals(daily_player_totals_sql(spark, tweets, year, month, day), totals)
+    insert_totals(daily_player_totals(spark.table(tweets), year, month, day), totals)
 
 
 def load_totals(
@@ -66,7 +82,7 @@ def load_totals(
     strict: bool = False,
 ) -> None:
     """Totals JSON, by field name, replaces the typed warehouse table."""
-    load_warehouse(spark.read.schema(TOTALS).json(source), target, rejected, strict)
+    load_warehouse(spark.read.schema(RAW_TOTALS).json(source), target, rejected, strict)
 
 
 def mention_windows(
@@ -97,11 +113,6 @@ def mention_windows_sql(
     )
 
 
-def gated_mentions(tweets: DataFrame, changes: DataFrame, players: DataFrame) -> DataFrame:
-    """Batch front half of the detector: enrich, then gate in arrival order."""
-    return gate(matched(enrich(mentions(tweets), players)), decode_control(changes))
-
-
 def detect_tampering(
     tweets: DataFrame, changes: DataFrame, players: DataFrame,
     window: int = WINDOW_SECONDS, lateness: int = LATENESS_SECONDS, delay: int = DELAY_SECONDS,
@@ -120,14 +131,17 @@ def detect_tampering(
 
 
 def detect_tampering_stream(
-    tweets: DataFrame, changes: DataFrame, players: DataFrame, out: str, checkpoint: str,
-    detector: Detector | None = None, salts: int = 8,
+    tweets: DataFrame, changes: DataFrame, players: DataFrame | Callable[[], DataFrame], out: str,
+    checkpoint: str, detector: Detector | None = None,
 ) -> StreamingQuery:
-    """Streaming detector: results with revisions, late and windowed rows under ``out``."""
-    broadcast = fits_broadcast(players)
-    enriched = enrich(mentions(tweets), players, salts=salts, broadcast=broadcast)
-    mixed = with_control(matched(enriched), decode_control(changes))
-    return run_available(mixed, checkpoint, detector or Detector(out, f"{checkpoint}-state"))
+    """Streaming detector: results with revisions, late and windowed rows, quarantine under ``out``.
+
+    ``players`` as a function is read again in every batch (see ``Detector``).
+    """
+    read = players if callable(players) else lambda: players
+    detector = replace(detector or Detector(out, f"{checkpoint}-state"), players=read)
+    mixed = with_control(mentions(tweets), decode_control(changes))
+    return run_available(mixed, checkpoint, detector)
 
 
 def gated_stream(

@@ -34,7 +34,7 @@ byname AS (
 
 TWEETS = f"""
 tw AS (
-  SELECT event_id, ts, id, arrival, event_ms, k,
+  SELECT event_id, ts, id, arrival, CASE WHEN event_id % 40 <> 13 THEN event_ms END AS event_ms, k,
          CASE WHEN event_id % 40 = 7 THEN 'ghost-' || user_id ELSE CAST(user_id AS VARCHAR) END AS account,
          CASE WHEN event_id % 40 = 11 THEN NULL WHEN event_id % 40 = 9 THEN 'Nobody#' || k
               ELSE {_name('k % 20')} END AS athlete,
@@ -46,7 +46,7 @@ ENRICHED = """
 enr AS (
   SELECT tw.id, arrival, event_ms, tw.account AS src_account, s.name AS src_name, s.team AS src_team,
          d.account AS dst_account, athlete AS dst_name, d.team AS dst_team,
-         CASE WHEN s.account IS NULL THEN 'source' WHEN athlete IS NULL THEN 'athlete'
+         CASE WHEN event_ms IS NULL THEN 'event_time' WHEN s.account IS NULL THEN 'source' WHEN athlete IS NULL THEN 'athlete'
               WHEN d.account IS NULL THEN 'destination' END AS miss
   FROM tw LEFT JOIN players s ON tw.account = s.account LEFT JOIN byname d ON athlete = d.name
 ),
@@ -162,8 +162,8 @@ FROM (SELECT * FROM first UNION ALL BY NAME SELECT * FROM later) WHERE total > 1
 
 _HOPS = f"""
 hop_in AS (
-  SELECT account, event_ms, athlete AS player FROM tw WHERE athlete IS NOT NULL
-  UNION ALL SELECT account, event_ms, athlete2 FROM tw WHERE athlete2 IS NOT NULL
+  SELECT account, event_ms, athlete AS player FROM tw WHERE athlete IS NOT NULL AND event_ms IS NOT NULL
+  UNION ALL SELECT account, event_ms, athlete2 FROM tw WHERE athlete2 IS NOT NULL AND event_ms IS NOT NULL
 ),
 hops AS (
   SELECT account, player,
@@ -224,7 +224,7 @@ parts AS (
          event_id % 4 = 0 AS has_related
   FROM spoil
 ),
-feed AS (
+bare AS (
   SELECT *,
          CASE WHEN kind = 7 THEN 'not json {'
               WHEN kind = 21 THEN '{"data":[],"includes":{' || users || '}}'
@@ -239,6 +239,10 @@ feed AS (
               WHEN kind = 28 THEN 'users' WHEN kind IN (14, 42) THEN 'created_at' END AS broken
   FROM parts
 ),
+feed AS (
+  SELECT * REPLACE (CASE kind WHEN 1 THEN chr(9) || ' ' || payload || ' ' WHEN 2 THEN chr(65279) || payload ELSE payload END AS payload)
+  FROM bare
+),
 records AS (
   SELECT *, CASE WHEN kind = 0 THEN '%%%not base64' ELSE to_base64(encode(payload)) END AS data,
          CASE WHEN kind = 0 THEN 'encoding' ELSE broken END AS error
@@ -258,12 +262,13 @@ raw AS (
          strftime(o_orderdate, '%m') AS month, strftime(o_orderdate, '%d') AS day,
          CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN repeat('é', 128)
               ELSE {_name('o_custkey')} END AS player,
-         CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS total
+         CASE WHEN o_orderkey % 19 = 0 THEN '12x' ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END AS total
   FROM orders
 ),
 checked AS (
   SELECT *, CASE WHEN player IS NULL OR octet_length(encode(player)) > 255 THEN 'player'
-                 WHEN TRY_CAST(year AS INTEGER) IS NULL THEN 'year' END AS reject
+                 WHEN TRY_CAST(year AS INTEGER) IS NULL THEN 'year'
+                 WHEN TRY_CAST(total AS INTEGER) IS NULL THEN 'total' END AS reject
   FROM raw
 )"""
 
@@ -291,6 +296,24 @@ _INCREMENTAL = f"""{_with(EVENTS, TWEETS, FLAT)}
 UNION ALL
 {_FLAT_TOTALS} WHERE event_id % 2 = 0 {_TOTALS_GROUP}"""
 
+_FAN = """
+fan AS (
+  SELECT created_at, is_main FROM dated WHERE broken IS NULL
+  UNION ALL
+  SELECT '2023-12-31T00:00:00.000Z', FALSE FROM dated WHERE is_main AND has_related
+)"""
+_LANDED_DAYS = f"""{_ENVELOPE_ROWS},{_FAN},
+cut AS (SELECT {_DATE}, is_main FROM fan)
+SELECT nullif(year, '') AS year, nullif(month, '') AS month, nullif(day, '') AS day,
+       count(*) AS tweets, count(*) FILTER (is_main) AS main_tweets
+FROM cut GROUP BY 1, 2, 3"""
+# the players of whom every seventh is known in the second half only
+_NEW_PLAYERS = ENRICHED.replace("FROM tw ", "FROM halves tw ").replace(
+    "tw.account = s.account", "tw.account = s.account AND (tw.second OR CAST(s.account AS BIGINT) % 7 <> 3)"
+).replace("athlete = d.name", "athlete = d.name AND (tw.second OR CAST(d.account AS BIGINT) % 7 <> 3)")
+_HALVES = """
+halves AS (SELECT *, arrival > (SELECT (min(arrival) + max(arrival)) // 2 FROM tw) AS second FROM tw)"""
+
 ORACLE: dict[str, str] = {
     "daily_totals": f"{_with(ANNOTATED)} {_TOTALS_SELECT} {_TOTALS_GROUP}",
     "daily_totals_one_day": f"""{_with(ANNOTATED)} {_TOTALS_SELECT} {_TOTALS_GROUP}
@@ -331,8 +354,9 @@ ORACLE: dict[str, str] = {
     "keyword_rule": _keyword_sql(),
     "typed_rows": f"""{_with(RAW_TOTALS)}
         SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, CAST(day AS INTEGER) AS day,
-               player, CAST(total AS INTEGER) AS total FROM checked WHERE reject IS NULL""",
+               player, TRY_CAST(total AS INTEGER) AS total FROM checked WHERE reject IS NULL""",
     "typed_rejects": f"{_with(RAW_TOTALS)} SELECT * FROM checked WHERE reject IS NOT NULL",
+    "warehouse_rejects": f"{_with(RAW_TOTALS)} SELECT * FROM checked WHERE reject IS NOT NULL",
     "players_names": f"{_with(PLAYERS)} SELECT name, account, team FROM byname",
     "enrich_players": f"{_with(*_UP_TO_MENTIONS)} SELECT {MENTION_COLUMNS} FROM ok",
     "enrich_shuffled": f"{_with(*_UP_TO_MENTIONS)} SELECT {MENTION_COLUMNS} FROM ok",
@@ -364,16 +388,14 @@ ORACLE: dict[str, str] = {
         SELECT team, "tamperingPlayer", {_TEXT} FROM det""",
     "notify_messages": f"{_with(*_UP_TO_MENTIONS, _detect('SELECT * FROM ok'))} {_MESSAGES}",
     "notify_records": f"{_with(*_UP_TO_MENTIONS, _detect('SELECT * FROM ok'))} {_MESSAGES}",
-    "landed_tweets": f"""{_ENVELOPE_ROWS},
-        fan AS (
-          SELECT created_at, is_main FROM dated WHERE broken IS NULL
-          UNION ALL
-          SELECT '2023-12-31T00:00:00.000Z', FALSE FROM dated WHERE is_main AND has_related
-        ),
-        cut AS (SELECT {_DATE}, is_main FROM fan)
-        SELECT nullif(year, '') AS year, nullif(month, '') AS month, nullif(day, '') AS day,
-               count(*) AS tweets, count(*) FILTER (is_main) AS main_tweets
-        FROM cut GROUP BY 1, 2, 3""",
+    "landed_tweets": _LANDED_DAYS,
+    "landed_two_runs": _LANDED_DAYS,
+    "landed_accounting": f"""{_ENVELOPE_ROWS},{_FAN}
+        SELECT (SELECT count(*) FROM fan) AS processed, (SELECT count(*) FROM dated WHERE broken IS NOT NULL) AS failed""",
+    "deduped_extra_fields": f"""{_with(EVENTS)}
+        SELECT id, CAST(k AS BIGINT) AS k, CAST(k * 2 AS BIGINT) AS likes, CAST(k + 1 AS BIGINT) AS second_day,
+               strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
+        FROM ev WHERE event_type NOT IN ('signup', 'error')""",
     "landed_errors": f"""{_ENVELOPE_ROWS}
         SELECT strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
                error, data FROM dated WHERE error IS NOT NULL""",
@@ -385,15 +407,19 @@ ORACLE: dict[str, str] = {
         {_TOTALS_SELECT} {_TOTALS_GROUP} UNION ALL {_TOTALS_SELECT} {_TOTALS_GROUP}""",
     "warehouse_load": f"""{_with(RAW_TOTALS)}
         SELECT CAST(year AS INTEGER) AS year, CAST(month AS INTEGER) AS month, count(*) AS loaded,
-               CAST(sum(CAST(total AS BIGINT)) AS BIGINT) AS total
+               CAST(sum(TRY_CAST(total AS BIGINT)) AS BIGINT) AS total
         FROM checked WHERE reject IS NULL GROUP BY 1, 2""",
     "players_file": f"{_with(PLAYERS)} SELECT account, name, team FROM players",
     "discovered_drift": """
         SELECT * FROM (VALUES ('lang', 'string', NULL, 'missing'), ('position', NULL, 'bigint', 'added'))
         AS drift("column", stored, found, change)""",
     "incremental_totals": _INCREMENTAL,
-    "bookmark_paused": f"""{_with(EVENTS, TWEETS, FLAT)}
-        {_FLAT_TOTALS} WHERE event_id % 2 = 0 {_TOTALS_GROUP}""",
+    "bookmark_paused": _INCREMENTAL,
+    "detector_quarantine": f"""{_with(*_UP_TO_MENTIONS)}
+        SELECT id, src_account, dst_name, miss FROM enr WHERE miss IS NOT NULL""",
+    "detector_result_lines": f"""SELECT team, "tamperingPlayer", {_TEXT} FROM ({_REVISIONS_FIRED})""",
+    "detector_new_player": f"""{_with(EVENTS, PLAYERS, TWEETS, _HALVES, _NEW_PLAYERS)}
+        SELECT id, src_account, dst_name, miss FROM enr WHERE miss IS NOT NULL""",
     "hop_stream": f"""{_with(EVENTS, TWEETS, _HOPS)}
         SELECT * FROM hop_out WHERE event_time <= {_CLOSED_AT}""",
     "tumbling_stream": f"""{_with(*_UP_TO_MENTIONS, _detect('SELECT * FROM ok',

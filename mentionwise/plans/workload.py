@@ -86,11 +86,13 @@ def _annotations() -> Column:
 
 
 def stream_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream tweets, some from accounts nobody knows."""
+    """Stream tweets, some from accounts nobody knows, some at impossible times."""
     user = F.col("user_id").cast("string")
     account = F.when(F.pmod("event_id", F.lit(40)) == 7, F.concat(F.lit("ghost-"), user)).otherwise(user)
+    # a time that no timestamp can hold
+    at = F.when(F.pmod("event_id", F.lit(40)) == 13, F.lit("9" * 17)).otherwise(F.col("event_ms").cast("string"))
     return tweet_events(spark, sf_dir).select(
-        F.col("event_ms").cast("string").alias("event_time"),
+        at.alias("event_time"),
         "arrival",
         F.array(F.struct(
             F.col("id").alias("id"), F.col("event_type").alias("text"),
@@ -205,6 +207,11 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.pmod("event_id", F.lit(3)) == 1, tweet)
         .otherwise(main)
     )
+    # white space around a record and a byte-order mark before it do not spoil it
+    payload = (
+        F.when(kind == 1, F.concat(_q("\t "), payload, _q(" "))).when(kind == 2, F.concat(_q("\ufeff"), payload))
+        .otherwise(payload)
+    )
     return events.select(
         F.col("id").alias("recordId"), payload.alias("payload"), F.col("event_id"),
         F.col("at").alias("arrived_at"),
@@ -234,5 +241,5 @@ def raw_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod(key, F.lit(11)) == 0, "x").otherwise(F.substring(day, 1, 4)).alias("year"),
         F.substring(day, 6, 2).alias("month"), F.substring(day, 9, 2).alias("day"),
         player.alias("player"),
-        F.floor("o_totalprice").cast("string").alias("total"),
+        F.when(F.pmod(key, F.lit(19)) == 0, "12x").otherwise(F.floor("o_totalprice").cast("string")).alias("total"),
     )

@@ -61,6 +61,8 @@ CONTROL_CHANGE = (
 
 PLAYERS = "account STRING, name STRING, team STRING"
 TOTALS = "year STRING, month STRING, day STRING, player STRING, total INT"
+# totals on their way into the warehouse: as written, whatever their type should be
+RAW_TOTALS = "year STRING, month STRING, day STRING, player STRING, total STRING"
 WAREHOUSE = "year INT, month INT, day INT, player STRING, total INT"
 HOP_COUNTS = "event_time TIMESTAMP, sourceplayer STRING, destinationplayer STRING, total BIGINT"
 DETECTION = "team STRING, tamperingPlayer STRING, total INT, players STRING, window STRING"

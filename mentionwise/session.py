@@ -51,17 +51,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def freeze(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it back.
+def freeze(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder (or ``path``) once and read it back.
 
     Cuts lineage the way a reliable checkpoint does, but columnar: later
     passes read only the columns they need, and losing an executor never
     re-evaluates what led here.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    path = path or scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _at(spark: SparkSession, path: str):
+    """The Hadoop file system and path: the store that Spark's readers and writers use."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _at(spark, path)
+    return files.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more; fine if it is not there."""
+    files, target = _at(spark, path)
+    files.delete(target, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -25,13 +25,13 @@ def create_json_table(
 
 
 def register_tweets(
-    spark: SparkSession, name: str, location: str, schema: str = TWEETS_TABLE
+    spark: SparkSession, name: str, location: str, schema: str = TWEETS_TABLE, keys: list[str] = DATE_PARTS
 ) -> None:
     """Create the partitioned tweets table if needed and pick up new date folders.
 
     Existing columns and partitions are left alone; see :func:`schema_drift`.
     """
-    create_json_table(spark, name, location, schema, DATE_PARTS)
+    create_json_table(spark, name, location, schema, keys)
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 

@@ -10,19 +10,24 @@ the batch operators, sliced by arrival.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionwise.operators.gate import ARRIVAL, latest_control, passing, resolve_control
+from mentionwise.operators.enrich import enrich, quarantined
+from mentionwise.operators.gate import (
+    ARRIVAL, CONTROL, TWEET, latest_control, passing, resolve_control,
+)
 from mentionwise.operators.running import SLICE, slice_by
 from mentionwise.operators.windows import (
     CLOCKS, OPEN_WINDOWS, advance_clocks, classify, detection_records, firings, late_rows,
     open_windows, windowed_rows, with_clock,
 )
 from mentionwise.schemas import DELAY_SECONDS, LATENESS_SECONDS, WINDOW_SECONDS
-from mentionwise.sinks.writers import write_batch
+from mentionwise.session import remove
+from mentionwise.sinks.writers import event_lines, write_batch
 
 CONTROLS = "src_team STRING, allowed BOOLEAN"
 
@@ -31,8 +36,15 @@ CONTROLS = "src_team STRING, allowed BOOLEAN"
 class Detector:
     """``foreachBatch`` function over mentions and control values (see ``with_control``).
 
-    Writes ``results`` (with their revision), ``late`` and ``windowed`` tables
-    under ``out``. Only the state of the batch before is ever read again.
+    Writes ``results`` (with their revision), ``late`` and ``windowed`` tables under
+    ``out``, and as text what is published: ``result_lines`` and ``late_lines``. A batch
+    counts once its record is in ``commits``, which is written last; see ``committed``.
+    Only the state of the batch before is ever read again, older state is removed.
+
+    With ``players``, a function that reads the dimension, the mentions come as they
+    are and meet the players inside the batch: the table is read, and its size
+    measured, for every batch anew, so players added since the one before are found.
+    Mentions that meet none go to ``quarantine``.
     """
 
     out: str
@@ -43,6 +55,7 @@ class Detector:
     threshold: int = 1
     clock: str = "global"
     slices: int | None = None
+    players: Callable[[], DataFrame] | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -50,7 +63,14 @@ class Detector:
         start = self._state(spark, "clock", CLOCKS, batch_id)
         opened = self._state(spark, "open", OPEN_WINDOWS, batch_id)
 
-        mixed = slice_by(batch, ARRIVAL, self.slices)
+        if self.players is not None:
+            batch = self._met(batch)
+        scratch = f"{self.state_dir}/slices/batch_id={batch_id}"
+        mixed = slice_by(batch, ARRIVAL, self.slices, scratch)
+        if self.players is not None:
+            write_batch(quarantined(mixed.where(F.col("kind") == TWEET)).drop(SLICE, "kind", "control"),
+                        f"{self.out}/quarantine", batch_id)
+            mixed = mixed.where(F.col("miss").isNull()).drop("miss")
         self._save(latest_control(mixed, controls), "control", batch_id)
         rows = classify(
             with_clock(passing(resolve_control(mixed, controls)), self.clock, start),
@@ -64,11 +84,31 @@ class Detector:
             kept = rows.drop(SLICE)
             write_batch(late_rows(kept), f"{self.out}/late", batch_id)
             write_batch(windowed_rows(kept), f"{self.out}/windowed", batch_id)
+            published = spark.read.schema(results.schema).parquet(f"{self.out}/results/batch_id={batch_id}")
+            self._write_lines(result_lines(published), "result_lines", batch_id)
+            self._write_lines(event_lines(late_rows(kept)), "late_lines", batch_id)
             self._save(
                 open_windows(rows, end, self.lateness, self.delay, opened), "open", batch_id
             )
+            write_batch(
+                spark.createDataFrame([(batch_id,)], "batch BIGINT").coalesce(1), f"{self.out}/commits", batch_id
+            )
         finally:
             rows.unpersist()
+        remove(spark, scratch)
+        # a replay of this batch reads the state of the one before
+        for name in ("control", "clock", "open"):
+            remove(spark, f"{self.state_dir}/{name}/batch_id={batch_id - 2}")
+
+    def _met(self, batch: DataFrame) -> DataFrame:
+        """Mentions with their players, or what they ``miss``, and the control values as they are."""
+        tweets = batch.where(F.col("kind") == TWEET).select("id", "arrival", "event_time", "account", "athlete")
+        met = enrich(tweets, self.players()).withColumn("kind", F.lit(TWEET))
+        control = batch.where(F.col("kind") == CONTROL).select("src_team", "arrival", "id", "kind", "control")
+        return met.unionByName(control, allowMissingColumns=True)
+
+    def _write_lines(self, lines: DataFrame, name: str, batch_id: int) -> None:
+        lines.write.mode("overwrite").text(f"{self.out}/{name}/batch_id={batch_id}")
 
     def _state(self, spark: SparkSession, name: str, schema: str, batch_id: int) -> DataFrame | None:
         """State after the batch before ``batch_id``; none before the first."""
@@ -80,6 +120,14 @@ class Detector:
         df.write.mode("overwrite").parquet(f"{self.state_dir}/{name}/batch_id={batch_id}")
 
 
+def committed(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """Output ``name`` of the batches that were finished; one that broke off shows nothing."""
+    done = spark.read.schema("batch BIGINT").option("recursiveFileLookup", "true").parquet(f"{out}/commits")
+    reader = spark.read.text if name.endswith("_lines") else spark.read.parquet
+    rows = reader(f"{out}/{name}")
+    return rows.join(F.broadcast(done), rows["batch_id"].cast("bigint") == done["batch"]).drop("batch", "batch_id")
+
+
 def result_lines(results: DataFrame) -> DataFrame:
     """Detections as the JSON text lines that are published."""
     return detection_records(results).select(F.to_json(F.struct("*")).alias("value"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from data import b64
 from mentionwise.operators.totals import daily_player_totals
 from mentionwise.plans.jobs import dedupe_tweets, land_tweets
-from mentionwise.schemas import ANNOTATIONS, PLACE_FIELDS, TWEETS_TABLE
+from mentionwise.schemas import ANNOTATIONS, TWEETS_TABLE
 from mentionwise.sinks.writers import (
     Landing, fan_out, print_stream, run_available, write_batch, write_json_stream,
     write_partitioned_json,
@@ -13,7 +13,7 @@ from mentionwise.sinks.writers import (
 from mentionwise.sources.catalog import (
     create_json_table, discover_schema, insert_totals, register_tweets, schema_drift,
 )
-from mentionwise.sources.incremental import run_incremental, seen_files
+from mentionwise.sources.incremental import Bookmark, run_incremental
 from mentionwise.sources.readers import read_messages, read_table, read_tweets, stream_json
 
 FLAT = f"id STRING, created_at STRING, context_annotations {ANNOTATIONS}, year STRING, month STRING, day STRING"
@@ -155,7 +155,7 @@ def test_bookmark_modes(spark, tmp_path):
         return seen[-1]
 
     write_partitioned_json(_flat(spark, "08"), path)
-    assert seen_files(spark, check).count() == 0
+    assert Bookmark(spark, check).read().count() == 0
     assert run("pause") == 3
     assert run("enable") == 3
     write_partitioned_json(_flat(spark, "09", "10"), path)
@@ -166,14 +166,6 @@ def test_bookmark_modes(spark, tmp_path):
     assert run("pause") == 0
 
 
-def test_feed_field_lists(spark):
-    frame = spark.createDataFrame([], PLACE_FIELDS)
-    assert {"country", "country_code", "full_name", "geo", "name", "id", "place_type"} == set(frame.columns)
-    tweet = spark.createDataFrame([], TWEETS_TABLE).columns
-    assert {"context_annotations", "author_id", "conversation_id", "created_at", "entities", "geo",
-            "in_reply_to_user_id", "lang", "possibly_sensitive", "referenced_tweets", "source"} <= set(tweet)
-
-
 def test_run_available_resumes(spark, tmp_path):
     (tmp_path / "in").mkdir()
     got = []

@@ -63,7 +63,7 @@ def test_detector_stream_equals_batch(spark, tmp_path, seed, clock):
     def step(tweet_stream, control_stream):
         detector = Detector(out, str(tmp_path / "state"), 60, 30, 20, clock=clock)
         detect_tampering_stream(
-            tweet_stream, control_stream, players(spark), out, str(tmp_path / "check"), detector, salts=2)
+            tweet_stream, control_stream, players(spark), out, str(tmp_path / "check"), detector)
 
     _run_in_parts(spark, tmp_path, rows, control, _cuts(random.Random(seed), 60, 3), step)
 
