@@ -428,7 +428,10 @@ ORACLE: dict[str, str] = {
     "control_gate_stream": f"{_with(*_UP_TO_GATE)} SELECT {MENTION_COLUMNS} FROM passed",
     "revisions_stream": _REVISIONS_FIRED,
     "late_stream": f"{_with(*_GLOBAL)} SELECT {MENTION_COLUMNS} FROM cls WHERE late",
-    "windowed_stream_team_clock": f"{_with(*_TEAM)} SELECT {MENTION_COLUMNS} FROM cls WHERE NOT late",
+    "windowed_stream_team_clock": f"""{_with(*_TEAM)},
+        ends AS (SELECT src_team AS team, max(event_ms) AS clock_end FROM passed GROUP BY src_team)
+        SELECT {MENTION_COLUMNS} FROM cls JOIN ends ON src_team = team
+        WHERE NOT late AND (refire OR window_end + {_DELAY} <= clock_end)""",
     "quarantine_stream": f"""{_with(*_UP_TO_MENTIONS)}
         SELECT id, src_account, dst_name, miss FROM enr WHERE miss IS NOT NULL""",
     "dedupe_stream": f"""{_with(EVENTS)}

@@ -15,8 +15,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from mentionwise.operators.enrich import enrich, quarantined
+from mentionwise.operators.enrich import BROADCAST_ROWS, enrich, quarantined
 from mentionwise.operators.gate import (
     ARRIVAL, CONTROL, TWEET, latest_control, passing, resolve_control,
 )
@@ -41,6 +42,9 @@ class Detector:
     counts once its record is in ``commits``, which is written last; see ``committed``.
     Only the state of the batch before is ever read again, older state is removed.
 
+    A window's rows are archived in ``windowed`` when it fires; until then they are held
+    in the state. Rows that come after it has fired are archived at once.
+
     With ``players``, a function that reads the dimension, the mentions come as they
     are and meet the players inside the batch: the table is read, and its size
     measured, for every batch anew, so players added since the one before are found.
@@ -83,7 +87,7 @@ class Detector:
             write_batch(results, f"{self.out}/results", batch_id)
             kept = rows.drop(SLICE)
             write_batch(late_rows(kept), f"{self.out}/late", batch_id)
-            write_batch(windowed_rows(kept), f"{self.out}/windowed", batch_id)
+            write_batch(self._fired(kept, end, batch_id), f"{self.out}/windowed", batch_id)
             published = spark.read.schema(results.schema).parquet(f"{self.out}/results/batch_id={batch_id}")
             self._write_lines(result_lines(published), "result_lines", batch_id)
             self._write_lines(event_lines(late_rows(kept)), "late_lines", batch_id)
@@ -97,9 +101,25 @@ class Detector:
             rows.unpersist()
         remove(spark, scratch)
         # a replay of this batch reads the state of the one before
-        for name in ("control", "clock", "open"):
+        for name in ("control", "clock", "open", "held"):
             remove(spark, f"{self.state_dir}/{name}/batch_id={batch_id - 2}")
 
+    def _fired(self, rows: DataFrame, clocks: DataFrame, batch_id: int) -> DataFrame:
+        """The rows to archive now; those of windows that have not fired are held for a later batch."""
+        on_time = windowed_rows(rows).drop("late")
+        waiting = on_time.where(~F.col("refire"))
+        earlier = self._state(rows.sparkSession, "held", waiting.schema, batch_id)
+        if earlier is not None:
+            waiting = waiting.unionByName(earlier)
+        # one clock, or one for each team: small enough for a broadcast only if it was counted
+        now = clocks.select(F.col("clock_key").alias("__key"), F.col("clock_ms").alias("__now"))
+        now = F.broadcast(now) if fits_rows(now) else now
+        due = waiting.join(now, waiting["clock_key"] == now["__key"], "left")
+        has_fired = F.coalesce(F.col("window_end") + F.lit(self.delay * 1000) <= F.col("__now"), F.lit(False))
+        marked = due.withColumn("__fired", has_fired).drop("__key", "__now")
+        self._save(marked.where(~F.col("__fired")).drop("__fired"), "held", batch_id)
+        return marked.where("__fired").drop("__fired").unionByName(on_time.where("refire"))
+
     def _met(self, batch: DataFrame) -> DataFrame:
         """Mentions with their players, or what they ``miss``, and the control values as they are."""
         tweets = batch.where(F.col("kind") == TWEET).select("id", "arrival", "event_time", "account", "athlete")
@@ -110,7 +130,7 @@ class Detector:
     def _write_lines(self, lines: DataFrame, name: str, batch_id: int) -> None:
         lines.write.mode("overwrite").text(f"{self.out}/{name}/batch_id={batch_id}")
 
-    def _state(self, spark: SparkSession, name: str, schema: str, batch_id: int) -> DataFrame | None:
+    def _state(self, spark: SparkSession, name: str, schema: str | StructType, batch_id: int) -> DataFrame | None:
         """State after the batch before ``batch_id``; none before the first."""
         if batch_id == 0:
             return None
@@ -120,6 +140,11 @@ class Detector:
         df.write.mode("overwrite").parquet(f"{self.state_dir}/{name}/batch_id={batch_id}")
 
 
+def fits_rows(df: DataFrame) -> bool:
+    """Whether a table of a few bytes a row may be broadcast."""
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def committed(spark: SparkSession, out: str, name: str) -> DataFrame:
     """Output ``name`` of the batches that were finished; one that broke off shows nothing."""
     done = spark.read.schema("batch BIGINT").option("recursiveFileLookup", "true").parquet(f"{out}/commits")

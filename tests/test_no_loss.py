@@ -197,7 +197,8 @@ def test_a_player_added_between_batches_is_found(spark, tmp_path):
             players(spark).where("name = 'Lebron James'").write.mode("append").parquet(folder)
     missed = committed(spark, detector.out, "quarantine").collect()
     assert sorted((r["id"], r["miss"]) for r in missed) == [("1", "source"), ("2", "source")]
-    assert sorted(r["id"] for r in committed(spark, detector.out, "windowed").collect()) == ["3", "4"]
+    held = spark.read.parquet(f"{detector.state_dir}/held/batch_id=1")
+    assert sorted(r["id"] for r in held.collect()) == ["3", "4"] and committed(spark, detector.out, "windowed").count() == 0
 
 
 def test_scratch_stays_the_same_and_unfinished_batches_show_nothing(spark, tmp_path, monkeypatch):
@@ -207,7 +208,7 @@ def test_scratch_stays_the_same_and_unfinished_batches_show_nothing(spark, tmp_p
     ]
     detector, sizes = Detector(str(tmp_path / "out"), str(tmp_path / "state")), []
     for _ in _run(spark, tmp_path, parts, detector, lambda: players(spark)):
-        sizes.append(sum(len(list((tmp_path / "state" / k).iterdir())) for k in ("control", "clock", "open")))
+        sizes.append(sum(len(list((tmp_path / "state" / k).iterdir())) for k in ("control", "clock", "open", "held")))
         assert not list((tmp_path / "state" / "slices").iterdir())
     assert sizes[1:] == [sizes[1]] * 4
     lines = committed(spark, detector.out, "result_lines")
