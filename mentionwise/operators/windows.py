@@ -21,6 +21,7 @@ from mentionwise.schemas import (
     DELAY_SECONDS, HOP_SIZE_SECONDS, HOP_SLIDE_SECONDS, HOP_THRESHOLD, LATENESS_SECONDS,
     WINDOW_SECONDS,
 )
+from mentionwise.session import freeze
 
 GROUP = ["clock_key", "src_team", "dst_name", "window_start", "window_end"]
 OPEN_WINDOWS = (
@@ -124,20 +125,23 @@ def detection_records(detections: DataFrame) -> DataFrame:
 
 def with_clock(
     mentions: DataFrame, clock: str = "global", start: DataFrame | None = None,
-    slices: int | None = None,
+    slices: int | None = None, path: str | None = None,
 ) -> DataFrame:
     """Add ``clock_key`` and ``clock_ms``, the clock each row met on arrival.
 
     ``clock`` is ``global`` (one clock, as with a single reader) or ``team``
     (one per source team). ``start`` carries the clocks of earlier batches. The
-    result keeps its arrival slices; rows from the batch gate have them already.
+    result keeps its arrival slices; rows from the batch gate have them already, and
+    are written once (to ``path``), as the clock reads them twice.
     """
     if clock not in ("global", "team"):
         raise ValueError(f"unknown clock {clock!r}")
     key = F.lit("all") if clock == "global" else F.coalesce("src_team", F.lit(""))
     keyed = mentions.withColumn("clock_key", key)
     if SLICE not in keyed.columns:
-        keyed = slice_by(keyed, ["arrival", "id"], slices)
+        keyed = slice_by(keyed, ["arrival", "id"], slices, path)
+    else:
+        keyed = freeze(keyed, "gated", path)
     clocked = running(
         keyed, ["clock_key"], ["arrival", "id"],
         {"clock_ms": ("max", F.unix_millis("event_time"))},

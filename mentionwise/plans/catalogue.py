@@ -541,6 +541,29 @@ def control_gate_stream(spark, d):
     return _plain(spark.read.parquet(f"{_stream(spark, d, run)}/out"))
 
 
+def _in_halves(spark, d, root, step: Callable[[DataFrame, DataFrame, int], None]) -> None:
+    """Replay in two portions, cut in the middle of the arrival times; ``step`` runs after each."""
+    feeds = {"tweets": workload.stream_tweets(spark, d), "control": workload.control_changes(spark, d)}
+    span = feeds["tweets"].agg(F.min("arrival").alias("a"), F.max("arrival").alias("b")).first()
+    first = F.col("arrival") <= ((span["a"] or 0) + (span["b"] or 0)) // 2
+    for n, part in enumerate((first, ~first)):
+        for name, rows in feeds.items():
+            rows.where(part).write.mode("append").json(f"{root}/in/{name}")
+        step(stream_tweets(spark, f"{root}/in/tweets"), stream_control(spark, f"{root}/in/control"), n)
+
+
+@query
+def gated_windows_stream(spark, d):
+    """Gate, watermark and window on one stream; what comes behind the watermark is dropped."""
+    root = scratch_path(spark, "gated-windows")
+
+    def step(tweets, changes, _):
+        _append(jobs.gated_windows_stream(tweets, changes, workload.players(spark, d), T.window, T.delay, salts=4), root)
+
+    _in_halves(spark, d, root, step)
+    return _readable(spark.read.parquet(f"{root}/out"))
+
+
 def _detector_stream(spark, d, clock="global"):
     def run(tweets, changes, players, root):
         detector = Detector(f"{root}/out", f"{root}/state", T.window, T.lateness, T.delay, clock=clock)
@@ -585,20 +608,17 @@ def detector_result_lines(spark, d):
 def detector_new_player(spark, d):
     """Every seventh player joins between two runs; only mentions before that stay without them."""
     root = scratch_path(spark, "new-player")
-    everyone, tweets = workload.players(spark, d), workload.stream_tweets(spark, d)
+    everyone = workload.players(spark, d)
     joins_later = F.pmod(F.col("account").cast("bigint"), F.lit(7)) == 3
-    span = tweets.agg(F.min("arrival").alias("a"), F.max("arrival").alias("b")).first()
-    first = F.col("arrival") <= ((span["a"] or 0) + (span["b"] or 0)) // 2
-    feeds = {"tweets": tweets, "control": workload.control_changes(spark, d)}
-    for part, known in ((first, ~joins_later), (~first, joins_later)):
-        everyone.where(known).write.mode("append").parquet(f"{root}/players")
-        for name, rows in feeds.items():
-            rows.where(part).write.mode("append").json(f"{root}/in/{name}")
+
+    def step(tweets, changes, n):
+        everyone.where(joins_later if n else ~joins_later).write.mode("append").parquet(f"{root}/players")
         jobs.detect_tampering_stream(
-            stream_tweets(spark, f"{root}/in/tweets"), stream_control(spark, f"{root}/in/control"),
-            lambda: players_table(spark.read.parquet(f"{root}/players")), f"{root}/out", f"{root}/checkpoint",
-            Detector(f"{root}/out", f"{root}/state", T.window, T.lateness, T.delay),
+            tweets, changes, lambda: players_table(spark.read.parquet(f"{root}/players")), f"{root}/out",
+            f"{root}/checkpoint", Detector(f"{root}/out", f"{root}/state", T.window, T.lateness, T.delay),
         )
+
+    _in_halves(spark, d, root, step)
     return committed(spark, f"{root}/out", "quarantine").select("id", "src_account", "dst_name", "miss")
 
 

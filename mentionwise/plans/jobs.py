@@ -152,6 +152,20 @@ def gated_stream(
     return gate_stream(matched(enriched), decode_control(changes), salts)
 
 
+def gated_windows_stream(
+    tweets: DataFrame, changes: DataFrame, players: DataFrame, window: int = WINDOW_SECONDS,
+    delay: int = DELAY_SECONDS, threshold: int = 1, salts: int = 8,
+) -> DataFrame:
+    """Gate, watermark and window as stateful steps of one stream: a row per closed window.
+
+    Mentions behind the watermark are dropped for good. What should be kept apart or
+    revise a result is the detector's work (see ``detect_tampering_stream``).
+    """
+    enriched = enrich(mentions(tweets), players, salts=salts, broadcast=fits_broadcast(players))
+    passed = gate_stream(matched(enriched), decode_control(changes), salts, delay)
+    return detect_stream(passed, window, threshold)
+
+
 def quarantine_stream(
     tweets: DataFrame, players: DataFrame, out: str, checkpoint: str, salts: int = 8
 ) -> StreamingQuery:

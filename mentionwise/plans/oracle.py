@@ -415,6 +415,14 @@ ORACLE: dict[str, str] = {
         AS drift("column", stored, found, change)""",
     "incremental_totals": _INCREMENTAL,
     "bookmark_paused": _INCREMENTAL,
+    "gated_windows_stream": f"""{_with(*_UP_TO_GATE)},
+        middle AS (SELECT (min(arrival) + max(arrival)) // 2 AS at_ms FROM tw),
+        marks AS (
+          SELECT max(event_ms) FILTER (arrival <= at_ms) - {_DELAY} AS first, max(event_ms) - {_DELAY} AS last FROM ok, middle
+        ),
+        {_detect("SELECT passed.* FROM passed, middle, marks WHERE NOT (arrival > at_ms AND event_ms <= first)",
+                 closed="window_end <= (SELECT last FROM marks)")}
+        SELECT * FROM det""",
     "detector_quarantine": f"""{_with(*_UP_TO_MENTIONS)}
         SELECT id, src_account, dst_name, miss FROM enr WHERE miss IS NOT NULL""",
     "detector_result_lines": f"""SELECT team, "tamperingPlayer", {_TEXT} FROM ({_REVISIONS_FIRED})""",

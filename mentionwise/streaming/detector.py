@@ -70,14 +70,14 @@ class Detector:
         if self.players is not None:
             batch = self._met(batch)
         scratch = f"{self.state_dir}/slices/batch_id={batch_id}"
-        mixed = slice_by(batch, ARRIVAL, self.slices, scratch)
+        mixed = slice_by(batch, ARRIVAL, self.slices, f"{scratch}/mixed")
         if self.players is not None:
             write_batch(quarantined(mixed.where(F.col("kind") == TWEET)).drop(SLICE, "kind", "control"),
                         f"{self.out}/quarantine", batch_id)
             mixed = mixed.where(F.col("miss").isNull()).drop("miss")
         self._save(latest_control(mixed, controls), "control", batch_id)
         rows = classify(
-            with_clock(passing(resolve_control(mixed, controls)), self.clock, start),
+            with_clock(passing(resolve_control(mixed, controls)), self.clock, start, path=f"{scratch}/gated"),
             self.window, self.lateness, self.delay,
         ).persist()
         try:

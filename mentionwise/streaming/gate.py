@@ -17,7 +17,7 @@ from mentionwise.operators.gate import CONTROL, TWEET
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MENTION = (
-    "id STRING, arrival BIGINT, event_ms BIGINT, src_account STRING, src_name STRING, "
+    "id STRING, arrival BIGINT, event_time TIMESTAMP, src_account STRING, src_name STRING, "
     "src_team STRING, dst_account STRING, dst_name STRING, dst_team STRING"
 )
 
@@ -43,15 +43,23 @@ class ControlGate(StatefulProcessor):
         if control.notna().any():
             self._allowed.update((bool(latest.iloc[-1]),))
         passing = batch[(batch["kind"] == TWEET) & ~allowed]
+        passing = passing.assign(event_time=pd.to_datetime(passing["event_ms"], unit="ms"))
         yield passing[[f.split()[0] for f in MENTION.split(", ")]]
 
     def close(self) -> None:
         pass
 
 
-def gate_stream(mentions: DataFrame, control: DataFrame, salts: int = 8) -> DataFrame:
+def gate_stream(
+    mentions: DataFrame, control: DataFrame, salts: int = 8, delay: int | None = None
+) -> DataFrame:
     """The tweets that pass, as a stream.
 
+    With a ``delay`` (seconds) the stream has a watermark that goes on behind the gate,
+    so that windows can follow on the same stream: tweets at or before the watermark of
+    the batches before are dropped by the gate, as a window would drop them. A control
+    value has no event time and is never late.
+
     State is keyed by (team, salt): a tweet goes to one salt, a control row to
     all of them, so a team's tweets are spread over ``salts`` tasks and each
     still meets its controls in arrival order. A key holds at most its share
@@ -62,21 +70,17 @@ def gate_stream(mentions: DataFrame, control: DataFrame, salts: int = 8) -> Data
         "control": F.lit(None).cast("boolean"),
         "event_ms": F.unix_millis("event_time"),
         "salt": F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"),
-    }).drop("event_time")
+    })
     controls = control.select(
         F.col("team").alias("src_team"), "arrival", "id",
         F.col("allowed").alias("control"), F.lit(CONTROL).alias("kind"),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
     )
-    passed = (
-        tweets.unionByName(controls, allowMissingColumns=True)
-        .groupBy("src_team", "salt")
-        .transformWithStateInPandas(
-            statefulProcessor=ControlGate(), outputStructType=MENTION,
-            outputMode="Append", timeMode="None",
-        )
-    )
-    return passed.select(
-        "id", "arrival", F.timestamp_millis("event_ms").alias("event_time"),
-        "src_account", "src_name", "src_team", "dst_account", "dst_name", "dst_team",
+    mixed = tweets.unionByName(controls, allowMissingColumns=True)
+    timed = {"timeMode": "None"}
+    if delay is not None:
+        mixed = mixed.withWatermark("event_time", f"{delay} seconds")
+        timed = {"timeMode": "EventTime", "eventTimeColumnName": "event_time"}
+    return mixed.groupBy("src_team", "salt").transformWithStateInPandas(
+        statefulProcessor=ControlGate(), outputStructType=MENTION, outputMode="Append", **timed
     )
