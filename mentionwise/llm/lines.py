@@ -43,8 +43,8 @@ HEAVY_LISTS = 50_000
 FIRST = 4
 # postings a task compares at once, at least; a run is never split
 HELD = 30_000
-# words whose hash a Python worker keeps
-WORDS_KEPT = 500_000
+# words whose hash a Python worker keeps; workers outlive the stage, so few
+WORDS_KEPT = 50_000
 AT = ["doc_id", "text_hash", "line"]
 _hashes: dict[bytes, int] = {}
 
