@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 # texts are pre-tokenised in slices of about so many characters, whatever the Arrow batch holds
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 # words kept with their tokens in each Python worker; beyond, the table starts anew
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 
 # fixed values: how the byte-level vocabularies cut a text, and which bytes stand for themselves
 CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
@@ -56,13 +56,15 @@ def newer_letters() -> str:
     from tokenizers import pre_tokenizers
 
     cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
-    every = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
-    known = regex.findall(r"[\p{L}\p{N}]", every)
-    newer = [
-        c for c in known
-        if unicodedata.category(c) == "Cn" and len(cut.pre_tokenize_str(f"a{c}1{c}")) == 4
-    ]
-    return ranges(sorted(map(ord, newer)))
+    newer: list[int] = []
+    # block by block: a list of all letters would stay with the worker
+    for first in range(0x80, 0x110000, 0x400):
+        block = "".join(chr(c) for c in range(first, min(first + 0x400, 0x110000)) if not 0xD800 <= c < 0xE000)
+        newer += [
+            ord(c) for c in regex.findall(r"[\p{L}\p{N}]", block)
+            if unicodedata.category(c) == "Cn" and len(cut.pre_tokenize_str(f"a{c}1{c}")) == 4
+        ]
+    return ranges(newer)
 
 
 def ranges(points: list[int]) -> str:
