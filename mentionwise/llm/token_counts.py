@@ -19,12 +19,16 @@ one by one; a null doc_id is as good as any; other columns pass through.
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterator
+
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from mentionwise.llm.bpe import Encoder, encoder
+from mentionwise.llm.bpe import Encoder, encoder, runs
 
 LEAF = 32
 FANOUT = 16
@@ -33,6 +37,9 @@ LOOK_AHEAD = 2
 # a text is cut anew in pieces that grow from this many characters
 PIECE = 512
 
+# so many new words of an edit are merged one by one
+FEW = 16
+
 EDITS = "array<struct<at: long, drop: long, insert: string>>"
 TREE = "leaf_chars array<int>, leaf_tokens array<int>"
 
@@ -94,8 +101,19 @@ class Tree:
             self._rebuild(first)
 
 
+def pack(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def leaves_of(words: list[str], model: Encoder) -> list[tuple[int, int]]:
-    known = model.know([words])
+    known = model.known
+    new = set(words).difference(known)
+    if len(new) <= FEW:
+        # the array checks cost more than merging a few words
+        for w in new:
+            known[w] = pack(model.merge(w.encode()))
+    else:
+        known = model.know([words])
     parts = (words[i:i + LEAF] for i in range(0, len(words), LEAF))
     return [(sum(map(len, p)), sum(len(known[w]) for w in p) // 4) for p in parts]
 
@@ -142,52 +160,78 @@ def edit(text: str, tree: Tree, at: int, drop: int, insert: str, model: Encoder)
     return new, stop - start
 
 
+def grown(texts: pa.Array, model: Encoder) -> Iterator[tuple[str, Tree]]:
+    """Texts and their trees; the new words of a run of texts are learnt together."""
+    for start, end in runs(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        part = [t or "" for t in texts[start:end].to_pylist()]
+        cut = [model.words.cut(t) for t in part]
+        model.know(cut)
+        for text, words in zip(part, cut, strict=True):
+            yield text, Tree(leaves_of(words, model))
+
+
 def build(text: Column, path: str) -> Column:
     """The leaves of a text's tree, to be stored with it."""
 
     @arrow_udf(TREE)
     def run(texts: pa.Array) -> pa.Array:
-        model = encoder(path)
-        grown = [grow(t or "", model).levels[0] for t in texts.to_pylist()]
+        leaves = [tree.levels[0] for _, tree in grown(texts, encoder(path))]
         ints = pa.list_(pa.int32())
         return pa.StructArray.from_arrays(
-            [pa.array([[leaf[k] for leaf in g] for g in grown], ints) for k in (0, 1)], ["leaf_chars", "leaf_tokens"]
+            [pa.array([[leaf[k] for leaf in g] for g in leaves], ints) for k in (0, 1)], ["leaf_chars", "leaf_tokens"]
         )
 
     return run(text)
 
 
+EDITED = f"text string, {TREE}, n_before long, n_tokens long, n_read long"
+
+
+def edited(pairs: Iterator[tuple[str, Tree]], edits: pa.Array, model: Encoder) -> pa.Array:
+    """EDITED of texts with their trees, after each one's edits, in order."""
+    rows = []
+    for (now, own), changes in zip(pairs, edits, strict=True):
+        before, read = own.tokens(), 0
+        for e in changes.as_py() or []:
+            now, n = edit(now, own, e["at"] or 0, e["drop"] or 0, e["insert"] or "", model)
+            read += n
+        leaves = own.levels[0]
+        rows.append((now, [c for c, _ in leaves], [k for _, k in leaves], before, own.tokens(), read))
+    ints = pa.list_(pa.int32())
+    types = [pa.string(), ints, ints, pa.int64(), pa.int64(), pa.int64()]
+    columns = zip(*rows) if rows else [[]] * 6
+    return pa.StructArray.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, types, strict=True)],
+        ["text", "leaf_chars", "leaf_tokens", "n_before", "n_tokens", "n_read"],
+    )
+
+
 def apply_edits(text: Column, tree: Column, edits: Column, path: str) -> Column:
-    """Struct ``text, leaf_chars, leaf_tokens, n_before, n_tokens, n_read``: after ``edits``, in order.
+    """Struct EDITED: a text and its stored tree after ``edits``, in order.
 
     ``n_read``: characters encoded again for the edits.
     """
 
-    @arrow_udf(f"text string, {TREE}, n_before long, n_tokens long, n_read long")
+    @arrow_udf(EDITED)
     def run(texts: pa.Array, trees: pa.Array, edits: pa.Array) -> pa.Array:
-        model = encoder(path)
-        rows = []
-        for t, held, changes in zip(texts, trees, edits, strict=True):
-            now, stored = t.as_py() or "", held.as_py()
-            own = Tree(list(zip(stored["leaf_chars"], stored["leaf_tokens"], strict=True)))
-            before, read = own.tokens(), 0
-            for e in changes.as_py() or []:
-                now, n = edit(now, own, e["at"] or 0, e["drop"] or 0, e["insert"] or "", model)
-                read += n
-            leaves = own.levels[0]
-            rows.append((now, [c for c, _ in leaves], [k for _, k in leaves], before, own.tokens(), read))
-        ints = pa.list_(pa.int32())
-        types = [pa.string(), ints, ints, pa.int64(), pa.int64(), pa.int64()]
-        columns = zip(*rows) if rows else [[]] * 6
-        return pa.StructArray.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, types, strict=True)],
-            ["text", "leaf_chars", "leaf_tokens", "n_before", "n_tokens", "n_read"],
-        )
+        held = ((t.as_py() or "", s.as_py()) for t, s in zip(texts, trees, strict=True))
+        pairs = ((t, Tree(list(zip(s["leaf_chars"], s["leaf_tokens"], strict=True)))) for t, s in held)
+        return edited(pairs, edits, encoder(path))
 
     return run(text, tree, edits)
 
 
+def build_and_edit(text: Column, edits: Column, path: str) -> Column:
+    """Struct EDITED of a text without a stored tree: built and edited in one pass."""
+
+    @arrow_udf(EDITED)
+    def run(texts: pa.Array, edits: pa.Array) -> pa.Array:
+        model = encoder(path)
+        return edited(grown(texts, model), edits, model)
+
+    return run(text, edits)
+
+
 def edited_counts(docs: DataFrame, edits: Column, path: str) -> DataFrame:
     """``docs`` with ``edited``: its texts after ``edits`` (EDITS) and their counts."""
-    grown = docs.withColumn("__tree", build(F.col("text"), path))
-    return grown.withColumn("edited", apply_edits(F.col("text"), F.col("__tree"), edits.cast(EDITS), path)).drop("__tree")
+    return docs.withColumn("edited", build_and_edit(F.col("text"), edits.cast(EDITS), path))

@@ -3,8 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from mentionwise.llm import bpe, toxicity
-from mentionwise.llm.queries import op3_bpe, tokenizer_path
+from mentionwise.llm import bpe, token_counts, toxicity
+from mentionwise.llm.queries import op1_token_counts, op3_bpe, tokenizer_path
 
 
 def test_calibration_of_five_thousand_steps(spark):
@@ -32,3 +32,28 @@ def test_round_trip_over_edges(spark, tmp_path):
         assert r["c"]["decoded"] == text
     docs.where("false").write.parquet(f"{tmp_path}/documents.parquet")
     assert op3_bpe(spark, str(tmp_path)).count() == 0
+
+
+def test_token_counts_over_edges(spark, tmp_path):
+    texts = [None, "", " ", "don't stop", "日本 é" * 300, "same", "same", "x" * 100_000, *[f"w{i} it's {i}\n\n  " * 40 for i in range(200)]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    model = bpe.encoder(tokenizer_path())
+    count = lambda t: len(model.encode([t], specials=False)[0]) // 4
+    edits = F.array(
+        F.struct(F.lit(3).alias("at"), F.lit(2).alias("drop"), F.lit(" it's").alias("insert")),
+        F.struct(F.lit(10**9).alias("at"), F.lit(None).cast("long").alias("drop"), F.lit(None).cast("string").alias("insert")),
+    )
+    for edits_of in (edits, F.lit(None).cast(token_counts.EDITS)):
+        for r in token_counts.edited_counts(docs, edits_of, tokenizer_path()).collect():
+            old = texts[r["doc_id"]] or ""
+            new = old[:3] + " it's" + old[5:] if edits_of is edits else old
+            e = r["edited"]
+            same = (e["text"], e["n_before"], e["n_tokens"], sum(e["leaf_tokens"])) == (new, count(old), count(new), count(new))
+            assert same, r["doc_id"]
+    stored = docs.withColumn("tree", token_counts.build(F.col("text"), tokenizer_path()))
+    again = stored.select("doc_id", token_counts.apply_edits(F.col("text"), F.col("tree"), edits.cast(token_counts.EDITS), tokenizer_path()).alias("e"))
+    assert all(r["e"]["n_tokens"] == count(r["e"]["text"]) for r in again.collect())
+    assert op1_token_counts(spark, str(tmp_path)).count() == len(texts)
+    docs.where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert op1_token_counts(spark, f"{tmp_path}/none").count() == 0
