@@ -26,10 +26,29 @@ WITH d AS (
 ), items AS (
     SELECT k, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS names
     FROM (SELECT DISTINCT k, item FROM hits) GROUP BY k
+), places AS (SELECT k, unnest(w) AS word, unnest(range(len(w))) AS p FROM d
+), counts AS (SELECT word, count(*) AS n FROM places GROUP BY word
+), ranked AS (
+    SELECT phrase, word, n, row_number() OVER (PARTITION BY phrase ORDER BY coalesce(n, 0), word) AS rank
+    FROM (SELECT DISTINCT phrase, unnest(string_split(phrase, ' ')) AS word FROM windows) LEFT JOIN counts USING (word)
+), rare AS (
+    SELECT phrase, a.word AS word, b.word AS word2
+    FROM (FROM ranked WHERE rank = 1 AND n > 0) a LEFT JOIN (FROM ranked WHERE rank = 2) b USING (phrase)
+), pairs AS (SELECT DISTINCT word, word2 FROM rare
+), met AS (
+    SELECT DISTINCT a.k, a.word, c.word2 FROM pairs c JOIN places a USING (word) JOIN places b ON b.k = a.k AND b.word = c.word2
+    WHERE abs(a.p - b.p) <= 10
+    UNION ALL SELECT DISTINCT k, word, word2 FROM pairs JOIN places USING (word) WHERE word2 IS NULL
+), near AS (
+    SELECT k, count(item) AS n_near, string_agg(item, ',' ORDER BY item) AS near_names FROM (
+        SELECT DISTINCT k, item FROM met JOIN rare ON met.word = rare.word AND met.word2 IS NOT DISTINCT FROM rare.word2
+        JOIN windows USING (phrase)
+    ) GROUP BY k
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN n USING (k) LEFT JOIN items USING (k)
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near, sha256(coalesce(near_names, '')) AS near_sha256
+FROM d LEFT JOIN n USING (k) LEFT JOIN items USING (k) LEFT JOIN near USING (k)
 """
 
 URLS = f"""

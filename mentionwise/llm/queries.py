@@ -65,6 +65,7 @@ def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near"), F.sha2(F.array_join("near_ids", ","), 256).alias("near_sha256"),
     )
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from mentionwise.llm import bpe, token_counts, toxicity
+from mentionwise.llm import bpe, decontamination, token_counts, toxicity
 from mentionwise.llm.queries import op1_token_counts, op3_bpe, tokenizer_path
 
 
@@ -57,3 +57,54 @@ def test_token_counts_over_edges(spark, tmp_path):
     assert op1_token_counts(spark, str(tmp_path)).count() == len(texts)
     docs.where("false").write.parquet(f"{tmp_path}/none/documents.parquet")
     assert op1_token_counts(spark, f"{tmp_path}/none").count() == 0
+
+
+def brute_contamination(docs, items, size=10, span=10):
+    """Exact and proximity matches by scanning every text, row by row."""
+    import re
+    from collections import Counter
+
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    texts = [split(t) for _, t in docs]
+    n = Counter(w for t in texts for w in t)
+    cut = []
+    for item, text in items:
+        w = split(text)
+        cut += [(item, w[i:i + size]) for i in range(max(len(w) - size + 1, 1))] if w else []
+    out = []
+    for (doc_id, _), t in zip(docs, texts, strict=True):
+        hit, found, near = set(), set(), set()
+        for item, phrase in cut:
+            for i in range(len(t) - len(phrase) + 1):
+                if t[i:i + len(phrase)] == phrase:
+                    hit |= set(range(i, i + len(phrase)))
+                    found.add(item)
+            rare = sorted(set(phrase), key=lambda w: (n[w], w))[:2]
+            at = [[i for i, w in enumerate(t) if w == r] for r in rare]
+            if n[rare[0]] and any(abs(a - b) <= span for a in at[0] for b in at[-1]):
+                near.add(item)
+        names = [sorted(str(i) for i in s if i is not None) for s in (found, near)]
+        out.append((doc_id, len(t), len(hit), *names))
+    return sorted(out, key=str)
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: f"w{rng.integers(12)}"
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 4, 10, 13])))) for i in range(12)]
+    items += [(None, "w1 w2 W3"), (90, None), (91, " "), (92, "never seen words"), (3, items[3][1])]
+    docs = [(i if i % 5 else None, " ".join(word() for _ in range(rng.integers(60)))) for i in range(60)]
+    docs += [(100 + i, f"x {items[i][1].upper()}, y {items[i][1]}") for i in range(6)] * 2
+    docs += [(None, None), (None, None), (7, ""), (8, "z " * 30_000 + items[4][1])]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for size, span in ((10, 10), (4, 6)):
+        got = sorted((tuple(r) for r in decontamination.contamination(table, bench, size, span).collect()), key=str)
+        assert got == brute_contamination(docs, items, size, span)
+    clean = {(d, t) for (d, t), r in zip(docs, [brute_contamination([x], items)[0] for x in docs], strict=True) if not r[2]}
+    odd = table.select("*", F.lit(1).alias("a.b"), F.lit(2).alias("key"), F.lit(3).alias("found"))
+    kept = decontamination.keep_clean(odd, bench)
+    assert kept.columns == odd.columns and {(r["doc_id"], r["text"]) for r in kept.collect()} == clean
+    assert decontamination.contamination(table.limit(0), bench).count() == 0
+    untouched = decontamination.contamination(table, bench.limit(0)).collect()
+    assert len(untouched) == len(docs) and not any(r["n_hit"] or r["near_ids"] for r in untouched)
