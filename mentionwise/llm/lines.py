@@ -22,8 +22,8 @@ sets by one of them.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,44 +43,72 @@ HEAVY_LISTS = 50_000
 FIRST = 4
 # postings a task compares at once, at least; a run is never split
 HELD = 30_000
-# words whose hash a Python worker keeps; workers outlive the stage, so few
-WORDS_KEPT = 50_000
+# lines are split and hashed together up to so many characters; a longer line goes alone
+SLICE = 500_000
+# a counted side of at most so many classes of a few numbers is broadcast
+BROADCAST_ROWS = 1_000_000
 AT = ["doc_id", "text_hash", "line"]
-_hashes: dict[bytes, int] = {}
 
 
-def word_hashes(line: str) -> np.ndarray:
-    """The distinct words of a line as sorted hashes."""
-    words = set(line.encode().lower().split())
-    if len(_hashes) > WORDS_KEPT:
-        _hashes.clear()
-    for w in words.difference(_hashes):
-        _hashes[w] = xxhash.xxh64_intdigest(w)
-    found = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    found.sort()
-    return found
+def word_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of each line: numbers of lines, and hashes, sorted by both."""
+    words = [line.encode().lower().split() for line in lines]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    flat = map(xxhash.xxh64_intdigest, chain.from_iterable(words))
+    found = np.fromiter(flat, np.uint64, int(sizes.sum()))
+    row = np.repeat(np.arange(len(lines)), sizes)
+    by = np.lexsort((found, row))
+    row, found = row[by], found[by]
+    new = np.r_[True, (row[1:] != row[:-1]) | (found[1:] != found[:-1])][:len(row)]
+    return row[new], found[new]
+
+
+def slices(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """``lines`` in parts of at most SLICE characters, each with its start."""
+    start = held = 0
+    for k, line in enumerate(lines):
+        if held and held + len(line) > SLICE:
+            yield start, lines[start:k]
+            start, held = k, 0
+        held += len(line)
+    if start < len(lines):
+        yield start, lines[start:]
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, broadcast if a count puts it under the bound."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def cut(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, line, class, words`` of every line with words; ``words`` is the line."""
     kind = docs.schema["doc_id"].dataType
 
+    def hashed(batch: pa.RecordBatch, row: list[int], number: list[int], lines: list[str]) -> pa.RecordBatch:
+        of, words = word_sets(lines)
+        edges = np.searchsorted(of, np.arange(len(lines) + 1))
+        used = np.flatnonzero(edges[1:] > edges[:-1])
+        cls = [xxhash.xxh64_intdigest(words[edges[k]:edges[k + 1]].tobytes()) for k in used]
+        taken = batch.select(["doc_id", "text_hash"]).take(pa.array(np.array(row, np.int64)[used]))
+        return pa.RecordBatch.from_arrays(
+            [*taken.columns, pa.array(np.array(number, np.int32)[used]), pa.array(np.array(cls, np.uint64).view(np.int64)),
+             pa.array([lines[k] for k in used], pa.string())], [*AT, "class", "words"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, number, cls, lines = [], [], [], []
-            for r, text in enumerate(batch.column("text").to_pylist()):
-                for k, line in enumerate((text or "").split("\n")):
-                    found = word_hashes(line)
-                    if len(found):
-                        row.append(r)
-                        number.append(k)
-                        cls.append(xxhash.xxh64_intdigest(found.tobytes()))
-                        lines.append(line)
-            taken = batch.select(["doc_id", "text_hash"]).take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(number, pa.int32()), pa.array(np.array(cls, np.uint64).view(np.int64)),
-                 pa.array(lines, pa.string())], [*AT, "class", "words"],
-            )
+            row, number, lines, held = [], [], [], 0
+            for r, text in enumerate(batch.column("text")):
+                of_text = (text.as_py() or "").split("\n")
+                row += [r] * len(of_text)
+                number += range(len(of_text))
+                lines += of_text
+                held += sum(map(len, of_text))
+                if held > SLICE:
+                    yield hashed(batch, row, number, lines)
+                    row, number, lines, held = [], [], [], 0
+            if lines:
+                yield hashed(batch, row, number, lines)
 
     read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return read.mapInArrow(run, f"doc_id {kind.simpleString()}, text_hash long, line int, class long, words string")
@@ -98,8 +126,8 @@ def rarity(classes: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for line in batch.column("words").to_pylist():
-                np.add.at(sums, word_hashes(line) & np.uint64(COUNTERS - 1), 1)
+            for _, part in slices(batch.column("words").to_pylist()):
+                sums += np.bincount((word_sets(part)[1] & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], ["counter", "n"])
 
@@ -116,42 +144,40 @@ def least_overlap(a, b, threshold: float):
 
 
 def postings(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
-    """``word, place, size, sketch, open`` and the class's place in the corpus, for each prefix word."""
+    """``word, place, size, sketch``, the class and its place in the corpus, for each prefix word."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, place, row, size, sketch = [], [], [], [], []
-            for r, line in enumerate(batch.column("words").to_pylist()):
-                t = word_hashes(line)
-                n = counts[t & np.uint64(COUNTERS - 1)]
-                bits = int(np.bitwise_or.reduce(np.uint64(1) << (t >> np.uint64(58))))
-                by_rarity = np.lexsort((t, n))
-                prefix = by_rarity[:len(t) - math.ceil(threshold * len(t) - 1e-9) + 1]
-                used = np.flatnonzero(n[prefix] > 1)
-                word.append(t[prefix[used]])
-                place.append(used)
-                row += [r] * len(used)
-                size += [len(t)] * len(used)
-                sketch += [bits] * len(used)
-            taken = batch.select([*AT, "open"]).take(pa.array(row, pa.int64()))
-            words = np.concatenate([*word, np.empty(0, np.uint64)]).view(np.int64)
-            places = np.concatenate([*place, np.empty(0, np.int64)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words), pa.array(places), pa.array(size, pa.int32()),
-                 pa.array(np.array(sketch, np.uint64).view(np.int64)), *taken.columns],
-                ["word", "place", "size", "sketch", *AT, "open"],
-            )
+            for start, part in slices(batch.column("words").to_pylist()):
+                row, words = word_sets(part)
+                first = np.searchsorted(row, np.arange(len(part)))
+                size = np.bincount(row, minlength=len(part))
+                # every class has a word, so no part of this is empty
+                sketch = np.bitwise_or.reduceat(np.uint64(1) << (words >> np.uint64(58)), first)
+                n = counts[words & np.uint64(COUNTERS - 1)]
+                by = np.lexsort((words, n, row))
+                row, words, n = row[by], words[by], n[by]
+                place = np.arange(len(row)) - first[row]
+                prefix = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
+                used = (place < prefix[row]) & (n > 1)
+                row, words, place = row[used], words[used], place[used]
+                taken = batch.select(["class", *AT]).take(pa.array(row + start))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.view(np.int64)), pa.array(place.astype(np.int32)), pa.array(size[row].astype(np.int32)),
+                     pa.array(sketch[row].view(np.int64)), *taken.columns],
+                    ["word", "place", "size", "sketch", "class", *AT],
+                )
 
     kind = classes.schema["doc_id"].dataType.simpleString()
-    return classes.select(*AT, "open", "words").mapInArrow(
-        index, f"word long, place int, size int, sketch long, doc_id {kind}, text_hash long, line int, open boolean"
+    return classes.select("class", *AT, "words").mapInArrow(
+        index, f"word long, place int, size int, sketch long, class long, doc_id {kind}, text_hash long, line int"
     )
 
 
 def long_lists(index: DataFrame) -> DataFrame:
     """``word, blocks`` of the lists to be dealt out; at most HEAVY_LISTS rows."""
-    sizes = freeze(index.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "line-lists")
-    longest = max(CELL, (sizes.agg(F.sum("n")).first()[0] or 0) // HEAVY_LISTS)
+    sizes = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    longest = max(CELL, index.count() // HEAVY_LISTS)
     # each has more than its share of the postings
     return sizes.where(F.col("n") > longest).select("word", F.ceil(F.col("n") / longest).cast("int").alias("blocks"))
 
@@ -159,7 +185,7 @@ def long_lists(index: DataFrame) -> DataFrame:
 def cells(index: DataFrame, heavy: DataFrame) -> DataFrame:
     """Postings with ``i, j, block``: the ``heavy`` lists as all pairs of blocks, the rest as one cell."""
     dealt = index.join(F.broadcast(heavy), "word", "left")
-    block = F.coalesce(F.pmod(F.xxhash64(*AT), F.col("blocks")), F.lit(0)).cast("int")
+    block = F.coalesce(F.pmod(F.xxhash64("class"), F.col("blocks")), F.lit(0)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
     dealt = dealt.withColumn("block", block).withColumn("other", other).drop("blocks")
     return dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
@@ -203,13 +229,11 @@ def earlier_candidates(run, place, size, sketch, block, asked, threshold: float,
 
 
 def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int, most: int | None) -> DataFrame:
-    """``a_*``, open, and an earlier ``b_*`` (places in the corpus); ``more`` (b null): ``a`` has further ones."""
+    """Classes ``a``, open, and an earlier ``b``; ``more`` (b null): ``a`` has further ones."""
     key = ["word", "i", "j"]
     ordered = cells(index, heavy).repartition(*key).sortWithinPartitions(*key, order())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a_doc_id", "a_text_hash", "a_line", "b_doc_id", "b_text_hash", "b_line", "more"]
-
         def runs(table: pa.Table) -> np.ndarray:
             k = [table[c].to_numpy() for c in key]
             return np.cumsum(np.r_[True, np.any([c[1:] != c[:-1] for c in k], axis=0)])
@@ -222,10 +246,11 @@ def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int,
                 runs(table), place, size, sketch.view(np.uint64), block, table["open"].to_numpy(), threshold, skip, most
             )
             if len(rows) or len(cut_off):
-                a = table.select(AT).take(pa.array(np.concatenate([rows, cut_off])))
-                b = table.select(AT).take(pa.array(others.tolist() + [None] * len(cut_off), pa.int64()))
-                more = pa.array([False] * len(others) + [True] * len(cut_off))
-                yield from pa.Table.from_arrays([*a.columns, *b.columns, more], names).combine_chunks().to_batches()
+                cls = table["class"].to_numpy()
+                a = pa.array(cls[np.concatenate([rows, cut_off])])
+                open_ended = np.r_[np.zeros(len(others), bool), np.ones(len(cut_off), bool)]
+                b = pa.array(np.r_[cls[others], np.zeros(len(cut_off), np.int64)], mask=open_ended)
+                yield pa.RecordBatch.from_arrays([a, b, pa.array(open_ended)], ["a", "b", "more"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:
@@ -242,52 +267,48 @@ def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int,
         if held:
             yield from flush(pa.Table.from_batches(held).combine_chunks())
 
-    kind = index.schema["doc_id"].dataType.simpleString()
-    place = ", ".join(f"{x}_doc_id {kind}, {x}_text_hash long, {x}_line int" for x in "ab")
-    return ordered.mapInArrow(compare, f"{place}, more boolean").distinct()
-
-
-def _same(left: str, right: str):
-    """Do two places agree? ``left`` and ``right`` are prefixes of their columns."""
-    doc, rest = (F.col(left + "doc_id").eqNullSafe(F.col(right + "doc_id"))), [c for c in AT if c != "doc_id"]
-    for c in rest:
-        doc = doc & (F.col(left + c) == F.col(right + c))
-    return doc
+    return ordered.mapInArrow(compare, "a long, b long, more boolean").distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """``a_*`` of the pairs whose lines have the similarity."""
+    """``class``: ``a`` of the pairs whose lines have the similarity. Only lines of a pair are shuffled."""
 
     @arrow_udf("boolean")
     def similar(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
-            x, y = word_hashes(x), word_hashes(y)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(bool(shared >= least_overlap(len(x), len(y), threshold)))
-        return pa.array(out, pa.bool_())
-
-    text = {x: classes.select(*[F.col(c).alias(f"{x}{c}") for c in AT], F.col("words").alias(f"{x}words")) for x in "pq"}
-    met = pairs.join(text["p"], _same("a_", "p")).join(text["q"], _same("b_", "q"))
-    return met.where(similar("pwords", "qwords")).select("a_doc_id", "a_text_hash", "a_line").distinct()
+        out = [np.empty(0, bool)]
+        # a slice at a time of both sides
+        for start, part in slices([f"{x}\n{y}" for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)]):
+            sides = [x.split("\n") for x in part]
+            (p, left), (q, right) = (word_sets([x[k] for x in sides]) for k in (0, 1))
+            row, words = np.r_[p, q], np.r_[left, right]
+            by = np.lexsort((words, row))
+            row, words = row[by], words[by]
+            both = (row[1:] == row[:-1]) & (words[1:] == words[:-1])
+            shared = np.bincount(row[1:][both], minlength=len(part))
+            sizes = (np.bincount(x, minlength=len(part)) for x in (p, q))
+            out.append(shared >= least_overlap(*sizes, threshold))
+        return pa.array(np.concatenate(out), pa.bool_())
+
+    ends = freeze(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "line-ends")
+    texts = classes.select("class", "words").join(small(ends), "class", "left_semi")
+    met = pairs.join(texts.toDF("a", "p"), "a").join(texts.toDF("b", "q"), "b")
+    return met.where(similar("p", "q")).select(F.col("a").alias("class")).distinct()
 
 
 def matched(classes: DataFrame, threshold: float) -> DataFrame:
-    """``a_*``: places of the classes of which an earlier one is similar enough."""
-    counts = rarity(classes)
-    index = postings(classes.withColumn("open", F.lit(True)), counts, threshold)
-    heavy = long_lists(index)
-    pairs = freeze(candidates(index, heavy, threshold, 0, FIRST), "line-candidates")
-    found = freeze(verified(pairs.where("not more"), classes, threshold), "line-matches")
-    left = pairs.where("more").select("a_doc_id", "a_text_hash", "a_line").distinct()
-    left = left.join(found.toDF("p_doc_id", "p_text_hash", "p_line"), _same("a_", "p_"), "left_anti")
+    """``class``: those of which an earlier one is similar enough."""
+    index = freeze(postings(classes, rarity(classes), threshold), "line-postings")
+    heavy = freeze(long_lists(index), "line-lists")
+    pairs = freeze(candidates(index.withColumn("open", F.lit(True)), heavy, threshold, 0, FIRST), "line-candidates")
+    found = freeze(verified(pairs.where("not more").drop("more"), classes, threshold), "line-matches")
+    left = pairs.where("more").select(F.col("a").alias("class")).distinct().join(found, "class", "left_anti")
     left = freeze(left, "line-undecided")
     if left.isEmpty():
         return found
-    undecided = left.toDF("p_doc_id", "p_text_hash", "p_line").withColumn("open", F.lit(True))
-    marked = classes.join(undecided, _same("", "p_"), "left").withColumn("open", F.coalesce("open", F.lit(False)))
-    rest = candidates(postings(marked, counts, threshold), heavy, threshold, FIRST, None)
-    return found.union(verified(rest, classes, threshold))
+    marked = index.join(small(left.withColumn("open", F.lit(True))), "class", "left")
+    marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
+    rest = freeze(candidates(marked, heavy, threshold, FIRST, None), "line-candidates")
+    return found.union(verified(rest.drop("more"), classes, threshold))
 
 
 def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -299,7 +320,7 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     classes = lines.groupBy("class").agg(first, F.count(F.lit(1)).alias("n"))
     classes = freeze(classes.select("class", "n", *[f"first.at.{c}" for c in AT], "first.words"), "line-classes")
     later = freeze(matched(classes, threshold).withColumn("later", F.lit(True)), "line-later")
-    facts = classes.drop("words").join(later, _same("", "a_"), "left")
+    facts = classes.drop("words").join(later, "class", "left")
     # a class of one line without a match removes nothing
     facts = facts.where("n > 1 or later").select("class", "n", order().alias("first"), "later")
     total = classes.agg(F.sum("n")).first()[0] or 0

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from mentionwise.llm import bpe, decontamination, token_counts, toxicity
+from mentionwise.llm import bpe, decontamination, lines, token_counts, toxicity
 from mentionwise.llm.queries import op1_token_counts, op3_bpe, tokenizer_path
 
 
@@ -108,3 +108,14 @@ def test_decontamination_equals_brute_force(spark):
     assert decontamination.contamination(table.limit(0), bench).count() == 0
     untouched = decontamination.contamination(table, bench.limit(0)).collect()
     assert len(untouched) == len(docs) and not any(r["n_hit"] or r["near_ids"] for r in untouched)
+
+
+def test_line_dedup_over_edges(spark):
+    rows = [(None, None), (None, "a b c\na b c"), (None, "a b c\na b c"), (1, ""), (1, "w " * 1_000_000 + "\nnew"), (2, "C a b"), (2, "C a b"), (3, "\n\n x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("a.b", F.lit(1)).withColumn("class", F.lit(2))
+    got = lines.remove_repeated(table)
+    assert got.columns == [*table.columns, "__n_removed"]
+    kept = sorted(((r["doc_id"], r["text"], r["__n_removed"]) for r in got.collect()), key=str)
+    want = [(None, None, 0), (None, "", 2), (None, "", 2), (1, "", 0), (1, rows[4][1], 0), (2, "C a b", 0), (2, "C a b", 0), (3, "\n\n x", 0)]
+    assert kept == sorted(want, key=str)
+    assert lines.remove_repeated(table.limit(0)).count() == 0
