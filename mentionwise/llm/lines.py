@@ -7,7 +7,7 @@ order that is the same for all lines gives whole results; one near the true rari
 gives short lists). Two sets of Jaccard similarity ``threshold`` share a word of
 their prefixes, so classes meet in the lists of prefix words; a word whose counter
 is 1 can meet nothing. A line is removed if an earlier line of the corpus, removed
-or not, is similar enough. Lists of more than a bounded share are dealt out as cells
+or not, is similar enough. Lists of more than ``CELL`` classes are dealt out as cells
 of two blocks. Postings carry a 64-bit sketch of the set, by which most pairs go; a
 class first verifies its ``FIRST`` nearest candidates of a cell, and only classes
 that all of them fail are compared further, so a group of near copies is not all its pairs.
@@ -33,12 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from mentionwise.llm.components import join_counted
-from mentionwise.session import freeze
+from mentionwise.llm.scratch import Scratch
 
 COUNTERS = 1 << 20
-# a list longer than this, and longer than one in HEAVY_LISTS postings, is dealt out as cells
-CELL = 1024
-HEAVY_LISTS = 50_000
+# a list longer than this is dealt out as cells of two blocks; the size does not grow with the corpus
+CELL = 8192
 # candidates of a class in a cell that are verified before the rest
 FIRST = 4
 # postings a task compares at once, at least; a run is never split
@@ -175,16 +174,14 @@ def postings(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFr
 
 
 def long_lists(index: DataFrame) -> DataFrame:
-    """``word, blocks`` of the lists to be dealt out; at most HEAVY_LISTS rows."""
+    """``word, blocks`` of the lists to be dealt out."""
     sizes = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    longest = max(CELL, index.count() // HEAVY_LISTS)
-    # each has more than its share of the postings
-    return sizes.where(F.col("n") > longest).select("word", F.ceil(F.col("n") / longest).cast("int").alias("blocks"))
+    return sizes.where(F.col("n") > CELL).select("word", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
 
 
 def cells(index: DataFrame, heavy: DataFrame) -> DataFrame:
     """Postings with ``i, j, block``: the ``heavy`` lists as all pairs of blocks, the rest as one cell."""
-    dealt = index.join(F.broadcast(heavy), "word", "left")
+    dealt = index.join(small(heavy), "word", "left")
     block = F.coalesce(F.pmod(F.xxhash64("class"), F.col("blocks")), F.lit(0)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
     dealt = dealt.withColumn("block", block).withColumn("other", other).drop("blocks")
@@ -270,7 +267,7 @@ def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int,
     return ordered.mapInArrow(compare, "a long, b long, more boolean").distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """``class``: ``a`` of the pairs whose lines have the similarity. Only lines of a pair are shuffled."""
 
     @arrow_udf("boolean")
@@ -289,42 +286,49 @@ def verified(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFram
             out.append(shared >= least_overlap(*sizes, threshold))
         return pa.array(np.concatenate(out), pa.bool_())
 
-    ends = freeze(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "line-ends")
+    ends = scratch.write(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "line-ends")
     texts = classes.select("class", "words").join(small(ends), "class", "left_semi")
     met = pairs.join(texts.toDF("a", "p"), "a").join(texts.toDF("b", "q"), "b")
     return met.where(similar("p", "q")).select(F.col("a").alias("class")).distinct()
 
 
-def matched(classes: DataFrame, threshold: float) -> DataFrame:
+def matched(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """``class``: those of which an earlier one is similar enough."""
-    index = freeze(postings(classes, rarity(classes), threshold), "line-postings")
-    heavy = freeze(long_lists(index), "line-lists")
-    pairs = freeze(candidates(index.withColumn("open", F.lit(True)), heavy, threshold, 0, FIRST), "line-candidates")
-    found = freeze(verified(pairs.where("not more").drop("more"), classes, threshold), "line-matches")
+    index = scratch.write(postings(classes, rarity(classes), threshold), "line-postings")
+    heavy = scratch.write(long_lists(index), "line-lists")
+    pairs = scratch.write(candidates(index.withColumn("open", F.lit(True)), heavy, threshold, 0, FIRST), "line-candidates")
+    found = scratch.write(verified(pairs.where("not more").drop("more"), classes, threshold, scratch), "line-matches")
     left = pairs.where("more").select(F.col("a").alias("class")).distinct().join(found, "class", "left_anti")
-    left = freeze(left, "line-undecided")
-    if left.isEmpty():
-        return found
-    marked = index.join(small(left.withColumn("open", F.lit(True))), "class", "left")
-    marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
-    rest = freeze(candidates(marked, heavy, threshold, FIRST, None), "line-candidates")
-    return found.union(verified(rest.drop("more"), classes, threshold))
+    left = scratch.write(left, "line-undecided")
+    scratch.drop(pairs)
+    if not left.isEmpty():
+        marked = index.join(small(left.withColumn("open", F.lit(True))), "class", "left")
+        marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
+        rest = scratch.write(candidates(marked, heavy, threshold, FIRST, None), "line-candidates")
+        more = scratch.write(verified(rest.drop("more"), classes, threshold, scratch), "line-matches")
+        scratch.drop(rest)
+        found = found.union(more)
+    scratch.drop(index, heavy)
+    return found
 
 
 def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``doc_id, text_hash, removed``: the numbers of the lines that go, for documents with any."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
+    scratch = Scratch(docs.sparkSession)
     lines = cut(docs)
     first = F.min(F.struct(order().alias("at"), "words")).alias("first")
     classes = lines.groupBy("class").agg(first, F.count(F.lit(1)).alias("n"))
-    classes = freeze(classes.select("class", "n", *[f"first.at.{c}" for c in AT], "first.words"), "line-classes")
-    later = freeze(matched(classes, threshold).withColumn("later", F.lit(True)), "line-later")
+    classes = scratch.write(classes.select("class", "n", *[f"first.at.{c}" for c in AT], "first.words"), "line-classes")
+    later = scratch.write(matched(classes, threshold, scratch).withColumn("later", F.lit(True)), "line-later")
     facts = classes.drop("words").join(later, "class", "left")
     # a class of one line without a match removes nothing
     facts = facts.where("n > 1 or later").select("class", "n", order().alias("first"), "later")
+    facts = scratch.write(facts, "line-facts")
     total = classes.agg(F.sum("n")).first()[0] or 0
-    marked = join_counted(lines.drop("words"), freeze(facts, "line-facts"), "class", "n", total)
+    scratch.drop(classes)
+    marked = join_counted(lines.drop("words"), facts, "class", "n", total)
     gone = marked.where(F.col("later") | (order() > F.col("first")))
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("removed"))
 

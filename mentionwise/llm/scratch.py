@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mentionwise.session import scratch_path
 
+# fixed value: Spark's setting by which a finished execution removes its shuffle files
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Scratch:
     """Writes the steps of one job and removes those that later steps no longer need.
@@ -20,7 +23,13 @@ class Scratch:
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, label)
-        df.write.parquet(path)
+        before = self.spark.conf.get(CLEAN_UP, "false")
+        # the step is on disk: the shuffles that led to it are of no further use
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEAN_UP, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(table)] = table, path
         return table
