@@ -14,6 +14,8 @@ treats them as ordinary text. Ids that the vocabulary lacks decode to nothing.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import heapq
 import json
 import re
@@ -326,11 +328,22 @@ def slices(texts: list[str | None]) -> Iterable[list[str | None]]:
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
+def give_back() -> None:
+    """Hand what earlier work in this process has freed back to the system; a worker outlives its stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def encoder(path: str) -> Encoder:
     """One encoder for each vocabulary file and Python worker."""
     if path not in _encoders:
+        give_back()
         with open(path, encoding="utf-8") as f:
             _encoders[path] = Encoder(f.read(), newer_letters())
+        give_back()
     return _encoders[path]
 
 
