@@ -115,7 +115,8 @@ class Words:
 class Encoder:
     """Words to token ids; ids are bytes of little-endian unsigned 32-bit integers."""
 
-    def __init__(self, source: str, newer: str = ""):
+    def __init__(self, source: str, newer: str = "", kept: int = WORDS_KEPT):
+        self.kept = kept
         import ahocorasick
 
         spec = json.loads(source)
@@ -276,7 +277,7 @@ class Encoder:
         """The table of words, with all words of these texts in it."""
         wanted = set().union(*cut)
         new = wanted.difference(self.known)
-        if len(self.known) + len(new) > WORDS_KEPT:
+        if len(self.known) + len(new) > self.kept:
             self.known.clear()
             new = wanted
         self.learn(list(new))
@@ -337,13 +338,14 @@ def give_back() -> None:
         trim(0)
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each vocabulary file and Python worker."""
+def encoder(path: str, kept: int = WORDS_KEPT) -> Encoder:
+    """One encoder for each vocabulary file and Python worker; ``kept``: words it holds from now on."""
     if path not in _encoders:
         give_back()
         with open(path, encoding="utf-8") as f:
-            _encoders[path] = Encoder(f.read(), newer_letters())
+            _encoders[path] = Encoder(f.read(), newer_letters(), kept)
         give_back()
+    _encoders[path].kept = kept
     return _encoders[path]
 
 
@@ -368,12 +370,15 @@ def decode(ids: Column, path: str) -> Column:
     return run.asNondeterministic()(ids)
 
 
-def round_trip(text: Column, path: str) -> Column:
-    """Struct ``ids, decoded``: a text's tokens and the text decoded from them, by one encoder in one pass."""
+def round_trip(text: Column, path: str, kept: int = WORDS_KEPT) -> Column:
+    """Struct ``ids, decoded``: a text's tokens and the text decoded from them, by one encoder in one pass.
+
+    ``kept``: words a worker holds with their tokens; fewer take less memory and more time.
+    """
 
     @arrow_udf("ids binary, decoded string")
     def run(texts: pa.Array) -> pa.Array:
-        model, ids, decoded = encoder(path), [], []
+        model, ids, decoded = encoder(path, kept), [], []
         for start, end in runs(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
             found = model.encode(texts[start:end].to_pylist())
             ids.append(pa.array(found, pa.binary()))
