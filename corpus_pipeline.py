@@ -9,6 +9,9 @@ from mentionwise.llm import bpe, decontamination, language, lines, simhash
 from mentionwise.llm.queries import tokenizer_path
 from mentionwise.session import configure, freeze
 
+# words an encoder holds: its workers also carry what the stages before have left in them
+WORDS_KEPT = 60_000
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised language go; the lang column stays as it is."""
@@ -38,7 +41,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and digests of them and of the text decoded from them."""
-    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), tokenizer_path()).alias("c")).select("doc_id", "c.*")
+    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), tokenizer_path(), WORDS_KEPT).alias("c")).select("doc_id", "c.*")
     return coded.select(
         "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
