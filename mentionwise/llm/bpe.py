@@ -20,7 +20,7 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -326,7 +326,7 @@ def slices(texts: list[str | None]) -> Iterable[list[str | None]]:
         yield part
 
 
-_encoders: dict[tuple[str, int], Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def give_back() -> None:
@@ -349,6 +349,12 @@ def encoder(path: str, kept: int = WORDS_KEPT) -> Encoder:
     return _encoders[path]
 
 
+def forget(path: str) -> None:
+    """Free this worker's encoder of a vocabulary file."""
+    if _encoders.pop(path, None) is not None:
+        give_back()
+
+
 def encode(text: Column, path: str, specials: bool = True) -> Column:
     """Token ids of a text as bytes, four little-endian ones for each id."""
 
@@ -370,14 +376,15 @@ def decode(ids: Column, path: str) -> Column:
     return run.asNondeterministic()(ids)
 
 
-def round_trip(text: Column, path: str, kept: int = WORDS_KEPT) -> Column:
+def round_trip(text: Column, path: str, kept: int = WORDS_KEPT, keep_encoder: bool = True) -> Column:
     """Struct ``ids, decoded``: a text's tokens and the text decoded from them, by one encoder in one pass.
 
     ``kept``: words a worker holds with their tokens; fewer take less memory and more time.
+    ``keep_encoder``: a worker keeps its encoder for its next task; without, each task builds one and
+    frees it at its end, so that workers that wait for other stages hold none.
     """
 
-    @arrow_udf("ids binary, decoded string")
-    def run(texts: pa.Array) -> pa.Array:
+    def coded(texts: pa.Array) -> pa.Array:
         model, ids, decoded = encoder(path, kept), [], []
         for start, end in runs(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
             found = model.encode(texts[start:end].to_pylist())
@@ -387,6 +394,14 @@ def round_trip(text: Column, path: str, kept: int = WORDS_KEPT) -> Column:
         columns = [pa.concat_arrays([e, *parts]) for e, parts in zip(empty, (ids, decoded), strict=True)]
         return pa.StructArray.from_arrays(columns, ["ids", "decoded"])
 
+    @arrow_udf("ids binary, decoded string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            yield from map(coded, batches)
+        finally:
+            if not keep_encoder:
+                forget(path)
+
     return run.asNondeterministic()(text)
 
 

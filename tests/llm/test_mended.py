@@ -1,6 +1,7 @@
 """Calibration with very many steps, and both directions of BPE in one pass."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from mentionwise.llm import bpe, decontamination, lines, token_counts, toxicity
@@ -18,13 +19,14 @@ def test_calibration_of_five_thousand_steps(spark):
         assert abs(r["score"] - np.interp(r["raw"], bounds, values)) < 1e-12
 
 
-def test_round_trip_over_edges(spark, tmp_path):
+@pytest.mark.parametrize("keep_encoder", [True, False])
+def test_round_trip_over_edges(spark, tmp_path, keep_encoder):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(tokenizer_path())
     texts = [None, "", " ", "a<|endoftext|>b", "日本 é" * 300, "same", "same", "x" * 1_200_000, "\x00\n", *[f"w{i} " * 50 for i in range(200)]]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
-    found = docs.select("doc_id", bpe.round_trip(F.col("text"), tokenizer_path()).alias("c")).collect()
+    found = docs.select("doc_id", bpe.round_trip(F.col("text"), tokenizer_path(), keep_encoder=keep_encoder).alias("c")).collect()
     assert len(found) == len(texts)
     for r in found:
         text = texts[r["doc_id"]] or ""
