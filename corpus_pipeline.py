@@ -41,7 +41,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, and digests of them and of the text decoded from them."""
-    coded = docs.select("doc_id", bpe.round_trip(F.col("text"), tokenizer_path(), WORDS_KEPT).alias("c")).select("doc_id", "c.*")
+    c = bpe.round_trip(F.col("text"), tokenizer_path(), WORDS_KEPT, keep_encoder=False)
+    coded = docs.select("doc_id", c.alias("c")).select("doc_id", "c.*")
     return coded.select(
         "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
