@@ -2,11 +2,11 @@
 
 A line is the set of its words (runs of anything but ASCII white space, A-Z
 lower-cased). Equal sets are one class, which stands at its first line. Words are
-ordered by rarity, counted over all classes in a table of ``COUNTERS`` counters (any
-order that is the same for all lines gives whole results; one near the true rarity
-gives short lists). Two sets of Jaccard similarity ``threshold`` share a word of
-their prefixes, so classes meet in the lists of prefix words; a word whose counter
-is 1 can meet nothing. A line is removed if an earlier line of the corpus, removed
+ordered by rarity, counted over all classes in a table of ``COUNTERS`` counters and
+put on a scale of 16 bits (any order that is the same for all lines gives whole
+results; one near the true rarity gives short lists). Two sets of Jaccard similarity
+``threshold`` share a word of their prefixes, so classes meet in the lists of prefix
+words; a word whose counter is 1 can meet nothing. A line is removed if an earlier line of the corpus, removed
 or not, is similar enough. Lists of more than ``CELL`` classes are dealt out as cells
 of two blocks. Postings carry a 64-bit sketch of the set, by which most pairs go; a
 class first verifies its ``FIRST`` nearest candidates of a cell, and only classes
@@ -16,14 +16,12 @@ Order: documents by doc_id (null last), then by text, then lines as they stand.
 Edge cases: rows of equal doc_id and text are the same document and fare alike;
 lines without words stay; a null text stays null, an empty one empty; a text that
 loses all lines becomes empty; other columns pass through. Words are compared by
-64-bit hashes,
-sets by one of them.
+64-bit hashes, sets by one of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,19 +47,53 @@ BROADCAST_ROWS = 1_000_000
 AT = ["doc_id", "text_hash", "line"]
 
 
+# bytes as random numbers, A-Z as a-z; and which of them end a word
+BYTES = np.array([xxhash.xxh64_intdigest(bytes([b]).lower()) for b in range(256)], np.uint64)
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+ODD = np.uint64(0x9E3779B97F4A7C15)
+# a longer word is hashed by itself
+LONG_WORD = 64
+
+
+def hash_words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the lower-cased words that stand in ``data``, all words at once, byte by byte."""
+    by = np.argsort(np.minimum(lengths, LONG_WORD + 1).astype(np.uint8), kind="stable")[::-1]
+    at, size = starts[by], lengths[by]
+    # words by falling length: those that have a byte k come first
+    reach = np.searchsorted(-size, -np.arange(1, LONG_WORD + 1), side="right")
+    h = size.astype(np.uint64) * ODD
+    for k, n in enumerate(reach):
+        if not n:
+            break
+        x = (h[:n] ^ BYTES[data[at[:n] + k]]) * ODD
+        h[:n] = x ^ (x >> np.uint64(29))
+    for i in range(int(np.count_nonzero(size > LONG_WORD))):
+        h[i] = xxhash.xxh64_intdigest(data[at[i]:at[i] + size[i]].tobytes().lower())
+    out = np.empty_like(h)
+    out[by] = h
+    return out
+
+
 def word_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct words of each line: numbers of lines, and hashes, sorted by both."""
-    words = [line.encode().lower().split() for line in lines]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = map(xxhash.xxh64_intdigest, chain.from_iterable(words))
-    found = np.fromiter(flat, np.uint64, int(sizes.sum()))
-    row = np.repeat(np.arange(len(lines)), sizes)
-    by = np.lexsort((found, row))
+    data = np.frombuffer("\n".join(lines).encode(), np.uint8)
+    inside = np.r_[False, ~SPACE[data], False]
+    starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
+    row = np.searchsorted(np.flatnonzero(data == 0x0A), starts)
+    found = hash_words(data, starts, ends - starts)
+    by = np.argsort(found)
+    by = by[by_line(row[by])]
     row, found = row[by], found[by]
     new = np.r_[True, (row[1:] != row[:-1]) | (found[1:] != found[:-1])][:len(row)]
     return row[new], found[new]
 
 
+def by_line(row: np.ndarray) -> np.ndarray:
+    """The order that sorts numbers of lines, equal ones as they stand; short numbers sort without comparisons."""
+    short = len(row) == 0 or row.max() < 1 << 16
+    return np.argsort(row.astype(np.uint16) if short else row, kind="stable")
+
+
 def slices(lines: list[str]) -> Iterator[tuple[int, list[str]]]:
     """``lines`` in parts of at most SLICE characters, each with its start."""
     start = held = 0
@@ -120,7 +152,7 @@ def order(prefix: str = ""):
 
 
 def rarity(classes: DataFrame) -> np.ndarray:
-    """How many word occurrences fall on each counter; COUNTERS numbers, whatever the corpus."""
+    """The level of the word occurrences on each counter; COUNTERS numbers, whatever the corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(COUNTERS, np.int64)
@@ -134,7 +166,12 @@ def rarity(classes: DataFrame) -> np.ndarray:
     found = rows.toArrow()
     counts = np.zeros(COUNTERS, np.int64)
     counts[found["counter"].to_numpy()] = found["n"].to_numpy()
-    return counts
+    return levels(counts)
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale of 16 bits: 0 up to one, rising above; close large counts may be one level."""
+    return np.minimum(np.log2(np.maximum(counts, 1)) * 1500, 0xFFFF).astype(np.uint16)
 
 
 def least_overlap(a, b, threshold: float):
@@ -142,7 +179,7 @@ def least_overlap(a, b, threshold: float):
     return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
 
 
-def postings(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
+def postings(classes: DataFrame, rare: np.ndarray, threshold: float) -> DataFrame:
     """``word, place, size, sketch``, the class and its place in the corpus, for each prefix word."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,12 +190,14 @@ def postings(classes: DataFrame, counts: np.ndarray, threshold: float) -> DataFr
                 size = np.bincount(row, minlength=len(part))
                 # every class has a word, so no part of this is empty
                 sketch = np.bitwise_or.reduceat(np.uint64(1) << (words >> np.uint64(58)), first)
-                n = counts[words & np.uint64(COUNTERS - 1)]
-                by = np.lexsort((words, n, row))
+                n = rare[words & np.uint64(COUNTERS - 1)]
+                # the words of a line stand by their hash, and keep that order within a level
+                by = np.argsort(n, kind="stable")
+                by = by[by_line(row[by])]
                 row, words, n = row[by], words[by], n[by]
                 place = np.arange(len(row)) - first[row]
                 prefix = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
-                used = (place < prefix[row]) & (n > 1)
+                used = (place < prefix[row]) & (n > 0)
                 row, words, place = row[used], words[used], place[used]
                 taken = batch.select(["class", *AT]).take(pa.array(row + start))
                 yield pa.RecordBatch.from_arrays(

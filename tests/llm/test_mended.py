@@ -121,3 +121,26 @@ def test_line_dedup_over_edges(spark):
     want = [(None, None, 0), (None, "", 2), (None, "", 2), (1, "", 0), (1, rows[4][1], 0), (2, "C a b", 0), (2, "C a b", 0), (3, "\n\n x", 0)]
     assert kept == sorted(want, key=str)
     assert lines.remove_repeated(table.limit(0)).count() == 0
+
+
+def test_word_sets_equal_plain_sets():
+    given = [
+        "Ab b\tAB é É x", "", " ", "x" * 64 + " " + "x" * 65 + " " + "X" * 65 + "\x0b" + "x" * 66, "\xa0a a\u2028b", "日本 é" * 30,
+        *[f"w{i % 7} W{i % 5} {'v' * (i % 70)}" for i in range(300)],
+    ]
+    rows, hashes = lines.word_sets(given)
+    plain = [set(x.encode().lower().split()) for x in given]
+    assert np.bincount(rows, minlength=len(given)).tolist() == list(map(len, plain))
+    # one hash for a word wherever it stands, another for another
+    of = {w: int(lines.word_sets([w.decode()])[1][0]) for w in set().union(*plain)}
+    assert len(set(of.values())) == len(of)
+    for k, words in enumerate(plain):
+        assert set(hashes[rows == k].tolist()) == {of[w] for w in words}
+    many = ["a b"] * 70_000
+    assert np.array_equal(lines.word_sets(many)[0], np.repeat(np.arange(70_000), 2))
+    assert [len(x) for x in lines.word_sets([])] == [0, 0]
+
+
+def test_levels_keep_the_order_of_counts():
+    found = lines.levels(np.array([0, 1, 2, 3, 100, 101, 1 << 50])).tolist()
+    assert found[:2] == [0, 0] and 0 < found[2] < found[3] < found[4] < found[5] < found[6]
