@@ -20,7 +20,7 @@ than doc_id, text and lang are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -38,6 +38,8 @@ HASHES = 4
 SLICE_CHARS = 1_000_000
 # distinct (language, trigram) pairs a task holds before it passes its counts on
 HELD = 500_000
+# trigrams that wait to be counted together, whatever the Arrow batch holds
+WAITING = 2_000_000
 FOLDS = 5
 UNKNOWN = "und"
 # share of trigrams, after correction, under which the filter rejects a text
@@ -55,9 +57,8 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def trigrams(text: str | None) -> np.ndarray:
-    """Trigrams of the lower-cased words, a space before and after each, as 63-bit keys."""
-    found = []
+def trigrams(text: str | None) -> Iterator[np.ndarray]:
+    """Trigrams of the lower-cased words, a space before and after each, as 63-bit keys, slice by slice."""
     for at in range(0, len(text or ""), SLICE_CHARS):
         # slices overlap by the two characters that a trigram needs
         part = text[max(at - 2, 0):at + SLICE_CHARS]
@@ -66,8 +67,7 @@ def trigrams(text: str | None) -> np.ndarray:
         c = np.frombuffer(((" " if at == 0 else "") + part.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)
         c = np.where(letters()[c], c, SPACE).astype(np.uint64)
         keys = c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]
-        found.append(keys[c[1:-1] != SPACE])
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+        yield keys[c[1:-1] != SPACE]
 
 
 def count_trigrams(docs: DataFrame) -> DataFrame:
@@ -85,18 +85,29 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
             sums.clear()
             return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(gram), pa.array(n)], ["lang", "gram", "n"])
 
-        for batch in batches:
-            rows: dict[int, list[np.ndarray]] = {}
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                rows.setdefault(names.setdefault(lang, len(names)), []).append(trigrams(text))
-            for i, parts in rows.items():
+        def add(waiting: dict[int, list[np.ndarray]]) -> None:
+            for i, parts in waiting.items():
                 gram, n = np.unique(np.concatenate(parts), return_counts=True)
                 if i in sums:
                     gram, where = np.unique(np.concatenate([sums[i][0], gram]), return_inverse=True)
                     n = np.bincount(where, np.concatenate([sums[i][1], n])).astype(np.int64)
                 sums[i] = gram, n
-            if sum(len(g) for g, _ in sums.values()) > HELD:
-                yield flush()
+            waiting.clear()
+
+        waiting: dict[int, list[np.ndarray]] = {}
+        held = 0
+        for batch in batches:
+            for text, lang in zip(batch.column("text"), batch.column("lang"), strict=True):
+                i = names.setdefault(lang.as_py(), len(names))
+                for keys in trigrams(text.as_py()):
+                    waiting.setdefault(i, []).append(keys)
+                    held += len(keys)
+                    if held > WAITING:
+                        add(waiting)
+                        held = 0
+                        if sum(len(g) for g, _ in sums.values()) > HELD:
+                            yield flush()
+        add(waiting)
         if sums:
             yield flush()
 
@@ -120,18 +131,19 @@ class Filters:
         filled = 1 - np.exp(-HASHES * np.array(sizes, float) / SLOTS)
         self.false_positive = filled ** HASHES
 
-    def fits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def fits(self, texts: Iterable[str | None], rows: int) -> tuple[np.ndarray, np.ndarray]:
         """Corrected share of each text's trigrams for each language; number of trigrams."""
-        grams = [trigrams(t) for t in texts]
-        n = np.fromiter(map(len, grams), np.int64, len(grams))
-        hits = np.zeros((len(texts), len(self.names)))
-        for row, keys in enumerate(grams):
-            for p, plane in enumerate(self.planes):
-                found = plane[mix(keys, 1)]
-                for seed in range(2, HASHES + 1):
-                    found = found & plane[mix(keys, seed)]
-                for lang in range(64 * p, min(64 * p + 64, len(self.names))):
-                    hits[row, lang] = np.count_nonzero(found >> np.uint64(lang - 64 * p) & np.uint64(1))
+        n = np.zeros(rows, np.int64)
+        hits = np.zeros((rows, len(self.names)))
+        for row, text in enumerate(texts):
+            for keys in trigrams(text):
+                n[row] += len(keys)
+                for p, plane in enumerate(self.planes):
+                    found = plane[mix(keys, 1)]
+                    for seed in range(2, HASHES + 1):
+                        found &= plane[mix(keys, seed)]
+                    for lang in range(64 * p, min(64 * p + 64, len(self.names))):
+                        hits[row, lang] += np.count_nonzero(found >> np.uint64(lang - 64 * p) & np.uint64(1))
         rate = hits / np.maximum(n, 1)[:, None]
         return np.clip((rate - self.false_positive) / (1 - self.false_positive), 0, 1), n
 
@@ -180,7 +192,7 @@ def identify(text: Column, filters: Filters) -> Column:
 
     @arrow_udf("lang_pred string, score double, fit double")
     def run(texts: pa.Array) -> pa.Array:
-        fits, n = filters.fits(texts.to_pylist())
+        fits, n = filters.fits((t.as_py() for t in texts), len(texts))
         if not filters.names:
             names, best, part = [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n))
         else:
