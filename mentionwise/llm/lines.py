@@ -9,8 +9,9 @@ results; one near the true rarity gives short lists). Two sets of Jaccard simila
 words; a word whose counter is 1 can meet nothing. A line is removed if an earlier line of the corpus, removed
 or not, is similar enough. Lists of more than ``CELL`` classes are dealt out as cells
 of two blocks. Postings carry a 64-bit sketch of the set, by which most pairs go; a
-class first verifies its ``FIRST`` nearest candidates of a cell, and only classes
-that all of them fail are compared further, so a group of near copies is not all its pairs.
+class first verifies its ``FIRST`` nearest candidates in its own block of a list, and
+only classes that all of them fail are compared further and with other blocks, so a
+group of near copies is not all its pairs.
 
 Order: documents by doc_id (null last), then by text, then lines as they stand.
 Edge cases: rows of equal doc_id and text are the same document and fare alike;
@@ -218,12 +219,18 @@ def long_lists(index: DataFrame) -> DataFrame:
     return sizes.where(F.col("n") > CELL).select("word", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
 
 
-def cells(index: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Postings with ``i, j, block``: the ``heavy`` lists as all pairs of blocks, the rest as one cell."""
+def cells(index: DataFrame, heavy: DataFrame, whole: bool) -> DataFrame:
+    """Postings with ``i, j, block``: the ``heavy`` lists as all pairs of blocks, the rest as one cell.
+
+    Not ``whole``: the blocks of a heavy list by themselves, so that a posting stands in one cell only.
+    """
     dealt = index.join(small(heavy), "word", "left")
     block = F.coalesce(F.pmod(F.xxhash64("class"), F.col("blocks")), F.lit(0)).cast("int")
+    dealt = dealt.withColumn("block", block)
+    if not whole:
+        return dealt.drop("blocks").select("*", F.col("block").alias("i"), F.col("block").alias("j"))
     other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
-    dealt = dealt.withColumn("block", block).withColumn("other", other).drop("blocks")
+    dealt = dealt.withColumn("other", other).drop("blocks")
     return dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
 
 
@@ -231,13 +238,14 @@ def earlier_candidates(run, place, size, sketch, block, asked, threshold: float,
     """Pairs (``asked`` row, earlier row) that may be similar, and the rows with more than ``most`` left.
 
     Rows stand in runs, in corpus order within each; all runs are compared at once, at
-    distance 1, 2, ... The first ``skip`` candidates of a row are passed over.
+    distance 1, 2, ... The first ``skip`` candidates of a row are passed over, not across two blocks.
     """
     starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
     lengths = np.diff(np.r_[starts, len(run)])
     first = np.repeat(starts, lengths)
     # a run of one block is compared whole; in one of two blocks only across
     across = np.repeat(np.minimum.reduceat(block, starts) != np.maximum.reduceat(block, starts), lengths)
+    skipped = np.where(across, 0, skip)
     after = size - place
     seen = np.zeros(len(run), np.int64)
     rows, others, cut_off = ([np.empty(0, np.int64)] for _ in range(3))
@@ -252,22 +260,22 @@ def earlier_candidates(run, place, size, sketch, block, asked, threshold: float,
         fits &= size[b] - np.bitwise_count(sketch[b] & ~sketch[a]) >= need
         a, b = a[fits], b[fits]
         seen[a] += 1
-        taken = seen[a] > skip
+        taken = seen[a] > skipped[a]
         if most is not None:
-            over = seen[a] > skip + most
+            over = seen[a] > skipped[a] + most
             cut_off.append(a[over])
             taken &= ~over
-            at = at[seen[at] <= skip + most]
+            at = at[seen[at] <= skipped[at] + most]
         rows.append(a[taken])
         others.append(b[taken])
         step += 1
     return np.concatenate(rows), np.concatenate(others), np.concatenate(cut_off)
 
 
-def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int, most: int | None) -> DataFrame:
+def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int, most: int | None, whole: bool) -> DataFrame:
     """Classes ``a``, open, and an earlier ``b``; ``more`` (b null): ``a`` has further ones."""
     key = ["word", "i", "j"]
-    ordered = cells(index, heavy).repartition(*key).sortWithinPartitions(*key, order())
+    ordered = cells(index, heavy, whole).repartition(*key).sortWithinPartitions(*key, order())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs(table: pa.Table) -> np.ndarray:
@@ -335,15 +343,17 @@ def matched(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame
     """``class``: those of which an earlier one is similar enough."""
     index = scratch.write(postings(classes, rarity(classes), threshold), "line-postings")
     heavy = scratch.write(long_lists(index), "line-lists")
-    pairs = scratch.write(candidates(index.withColumn("open", F.lit(True)), heavy, threshold, 0, FIRST), "line-candidates")
+    pairs = scratch.write(candidates(index.withColumn("open", F.lit(True)), heavy, threshold, 0, FIRST, False), "line-candidates")
     found = scratch.write(verified(pairs.where("not more").drop("more"), classes, threshold, scratch), "line-matches")
-    left = pairs.where("more").select(F.col("a").alias("class")).distinct().join(found, "class", "left_anti")
+    # a class of a dealt list has met its own block only
+    dealt = index.join(small(heavy), "word", "left_semi").select("class")
+    left = pairs.where("more").select(F.col("a").alias("class")).union(dealt).distinct().join(found, "class", "left_anti")
     left = scratch.write(left, "line-undecided")
     scratch.drop(pairs)
     if not left.isEmpty():
         marked = index.join(small(left.withColumn("open", F.lit(True))), "class", "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
-        rest = scratch.write(candidates(marked, heavy, threshold, FIRST, None), "line-candidates")
+        rest = scratch.write(candidates(marked, heavy, threshold, FIRST, None, True), "line-candidates")
         more = scratch.write(verified(rest.drop("more"), classes, threshold, scratch), "line-matches")
         scratch.drop(rest)
         found = found.union(more)
