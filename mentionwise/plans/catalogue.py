@@ -38,7 +38,7 @@ from mentionwise.sources.readers import (
     tweet_view,
 )
 from mentionwise.streaming.detector import Detector, committed
-from mentionwise.streaming.replay import replay
+from mentionwise.streaming.replay import replay, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -543,7 +543,7 @@ def control_gate_stream(spark, d):
 
 def _in_halves(spark, d, root, step: Callable[[DataFrame, DataFrame, int], None]) -> None:
     """Replay in two portions, cut in the middle of the arrival times; ``step`` runs after each."""
-    feeds = {"tweets": workload.stream_tweets(spark, d), "control": workload.control_changes(spark, d)}
+    feeds = spread({"tweets": workload.stream_tweets(spark, d), "control": workload.control_changes(spark, d)})
     span = feeds["tweets"].agg(F.min("arrival").alias("a"), F.max("arrival").alias("b")).first()
     first = F.col("arrival") <= ((span["a"] or 0) + (span["b"] or 0)) // 2
     for n, part in enumerate((first, ~first)):

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mentionwise.session import freeze
+
 
 def portions(order: DataFrame, column: str, count: int) -> list[tuple[int | None, int | None]]:
     """``count`` half-open ranges of ``column`` that hold about equally many rows."""
@@ -16,6 +18,14 @@ def portions(order: DataFrame, column: str, count: int) -> list[tuple[int | None
     return list(zip(edges[:-1], edges[1:]))
 
 
+def spread(feeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each feed derived once and dealt out evenly: every portion is a filter over stored rows.
+
+    A table may be one file that a single task reads; what follows is not bound to that task.
+    """
+    return {path: freeze(rows.hint("rebalance"), "feed") for path, rows in feeds.items()}
+
+
 def replay(
     feeds: dict[str, DataFrame], step: Callable[[], None], order: str = "arrival", count: int = 3
 ) -> None:
@@ -25,6 +35,7 @@ def replay(
     after the other, so a later run never sees an earlier arrival. Within a
     portion the files are written in parallel.
     """
+    feeds = spread(feeds)
     first = next(iter(feeds.values()))
     for low, high in portions(first, order, count):
         for path, rows in feeds.items():
