@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -22,6 +23,17 @@ MENTION = (
 )
 
 
+def _arrival_order(batch: pd.DataFrame) -> np.ndarray:
+    """Positions by (arrival, kind, id). Ids are text, so they are compared only where the rest is equal."""
+    order = np.lexsort((batch["kind"].to_numpy(), batch["arrival"].to_numpy()))
+    firsts = batch[["arrival", "kind"]].take(order)
+    equal = firsts.duplicated(keep=False).to_numpy()
+    if equal.any():
+        tied = batch.take(order[equal]).sort_values(["arrival", "kind", "id"])
+        order[equal] = tied.index.to_numpy()
+    return order
+
+
 class ControlGate(StatefulProcessor):
     """Drops the tweets of a team while its latest control value is true.
 
@@ -36,13 +48,15 @@ class ControlGate(StatefulProcessor):
         self, key, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
         held = self._allowed.get() if self._allowed.exists() else None
-        batch = pd.concat(list(rows)).sort_values(["arrival", "kind", "id"])
-        control = batch["control"].where(batch["kind"] == CONTROL).astype("boolean")
+        batch = pd.concat(list(rows), ignore_index=True)
+        order = _arrival_order(batch)
+        control = batch["control"].where(batch["kind"] == CONTROL).astype("boolean").loc[order]
         latest = control.ffill()
         allowed = latest.fillna(bool(held[0]) if held else False)
         if control.notna().any():
             self._allowed.update((bool(latest.iloc[-1]),))
-        passing = batch[(batch["kind"] == TWEET) & ~allowed]
+        # the rows stay where they are, only their flags are put back in place
+        passing = batch[(batch["kind"] == TWEET) & ~allowed.sort_index()]
         passing = passing.assign(event_time=pd.to_datetime(passing["event_ms"], unit="ms"))
         yield passing[[f.split()[0] for f in MENTION.split(", ")]]
 

@@ -1,5 +1,9 @@
 """What a stream's replay, the detector and the gate are given is computed once, however often they use it."""
 
+import numpy as np
+import pandas as pd
+
+from mentionwise.streaming.gate import _arrival_order
 from mentionwise.streaming.replay import replay
 
 
@@ -27,3 +31,13 @@ def test_replay_keeps_rows_without_an_arrival_out_as_before(spark, tmp_path):
     replay({f"{tmp_path}/in": rows}, lambda: None)
     found = sorted(r["id"] for r in spark.read.json(f"{tmp_path}/in").select("id").collect())
     assert found == ["a", "c", "c"]
+
+
+def test_arrival_order_is_the_one_of_three_sorted_columns():
+    rng = np.random.default_rng(3)
+    batch = pd.DataFrame({
+        "arrival": rng.choice([1.0, 2.0, 3.0, np.nan], 200), "kind": rng.integers(0, 2, 200),
+        "id": rng.choice(["10", "9", "a", None], 200),
+    })
+    sorted_rows = batch.sort_values(["arrival", "kind", "id"]).reset_index(drop=True)
+    pd.testing.assert_frame_equal(batch.take(_arrival_order(batch)).reset_index(drop=True), sorted_rows)
