@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentionwise.operators.running import running, slice_by
+from mentionwise.session import freeze
 
 TWEET, CONTROL = 1, 0
 
@@ -74,7 +75,9 @@ def passing(resolved: DataFrame) -> DataFrame:
 def control_state(
     mentions: DataFrame, control: DataFrame, slices: int | None = None
 ) -> DataFrame:
-    return resolve_control(slice_by(with_control(mentions, control), ARRIVAL, slices))
+    # slicing reads its rows twice: once for the bounds, which a sample gives
+    mixed = freeze(with_control(mentions, control), "mixed")
+    return resolve_control(slice_by(mixed, ARRIVAL, slices))
 
 
 def gate(mentions: DataFrame, control: DataFrame, slices: int | None = None) -> DataFrame:

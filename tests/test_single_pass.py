@@ -1,8 +1,12 @@
 """What a stream's replay, the detector and the gate are given is computed once, however often they use it."""
 
+from datetime import datetime
+
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
+from mentionwise.operators.gate import control_state
 from mentionwise.streaming.gate import _arrival_order
 from mentionwise.streaming.replay import replay
 
@@ -33,6 +37,18 @@ def test_replay_keeps_rows_without_an_arrival_out_as_before(spark, tmp_path):
     assert found == ["a", "c", "c"]
 
 
+def test_gate_computes_its_rows_once(spark):
+    at = datetime(2024, 1, 1, 0, 0, 10)
+    rows, seen = _counted(
+        spark, [(f"m{i}", 2 * i, at, "A") for i in range(20)], "id STRING, arrival BIGINT, event_time TIMESTAMP, src_team STRING"
+    )
+    control = spark.createDataFrame([("A", 9, "c", True), ("A", 21, "d", False)], "team STRING, arrival BIGINT, id STRING, allowed BOOLEAN")
+    state = control_state(rows, control, slices=3)
+    allowed = sorted(int(r["id"][1:]) for r in state.where(F.col("allowed")).collect())
+    assert allowed == list(range(5, 11))
+    assert seen.value == 20
+
+
 def test_arrival_order_is_the_one_of_three_sorted_columns():
     rng = np.random.default_rng(3)
     batch = pd.DataFrame({
