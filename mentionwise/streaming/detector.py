@@ -27,7 +27,7 @@ from mentionwise.operators.windows import (
     open_windows, windowed_rows, with_clock,
 )
 from mentionwise.schemas import DELAY_SECONDS, LATENESS_SECONDS, WINDOW_SECONDS
-from mentionwise.session import remove
+from mentionwise.session import freeze, remove
 from mentionwise.sinks.writers import event_lines, write_batch
 
 CONTROLS = "src_team STRING, allowed BOOLEAN"
@@ -67,9 +67,9 @@ class Detector:
         start = self._state(spark, "clock", CLOCKS, batch_id)
         opened = self._state(spark, "open", OPEN_WINDOWS, batch_id)
 
-        if self.players is not None:
-            batch = self._met(batch)
         scratch = f"{self.state_dir}/slices/batch_id={batch_id}"
+        if self.players is not None:
+            batch = self._met(batch, f"{scratch}/met")
         mixed = slice_by(batch, ARRIVAL, self.slices, f"{scratch}/mixed")
         if self.players is not None:
             write_batch(quarantined(mixed.where(F.col("kind") == TWEET)).drop(SLICE, "kind", "control"),
@@ -120,12 +120,20 @@ class Detector:
         self._save(marked.where(~F.col("__fired")).drop("__fired"), "held", batch_id)
         return marked.where("__fired").drop("__fired").unionByName(on_time.where("refire"))
 
-    def _met(self, batch: DataFrame) -> DataFrame:
-        """Mentions with their players, or what they ``miss``, and the control values as they are."""
-        tweets = batch.where(F.col("kind") == TWEET).select("id", "arrival", "event_time", "account", "athlete")
-        met = enrich(tweets, self.players()).withColumn("kind", F.lit(TWEET))
-        control = batch.where(F.col("kind") == CONTROL).select("src_team", "arrival", "id", "kind", "control")
-        return met.unionByName(control, allowMissingColumns=True)
+    def _met(self, batch: DataFrame, path: str) -> DataFrame:
+        """Mentions with their players, or what they ``miss``, and the control values as they are.
+
+        Spark computes a batch anew for each use, files and all: it is held for the two used here, and
+        what they give is written once, as slicing reads it twice.
+        """
+        batch = batch.persist()
+        try:
+            tweets = batch.where(F.col("kind") == TWEET).select("id", "arrival", "event_time", "account", "athlete")
+            met = enrich(tweets, self.players()).withColumn("kind", F.lit(TWEET))
+            control = batch.where(F.col("kind") == CONTROL).select("src_team", "arrival", "id", "kind", "control")
+            return freeze(met.unionByName(control, allowMissingColumns=True), "met", path)
+        finally:
+            batch.unpersist()
 
     def _write_lines(self, lines: DataFrame, name: str, batch_id: int) -> None:
         lines.write.mode("overwrite").text(f"{self.out}/{name}/batch_id={batch_id}")

@@ -7,9 +7,15 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from mentionwise.operators.gate import control_state
+from mentionwise.streaming.detector import Detector
 from mentionwise.streaming.gate import _arrival_order
 from mentionwise.streaming.replay import replay
 
+MIXED = (
+    "id STRING, arrival BIGINT, event_time TIMESTAMP, account STRING, athlete STRING, kind INT, "
+    "src_team STRING, control BOOLEAN"
+)
+
 
 def _counted(spark, rows, schema):
     """The rows, and an accumulator that counts how often one of them was computed."""
@@ -37,6 +43,20 @@ def test_replay_keeps_rows_without_an_arrival_out_as_before(spark, tmp_path):
     assert found == ["a", "c", "c"]
 
 
+def test_detector_computes_its_batch_once(spark, tmp_path):
+    at = datetime(2024, 1, 1, 0, 0, 10)
+    rows = [(f"m{i}", i, at, "1" if i % 2 else "nobody", "Two", 1, None, None) for i in range(12)]
+    rows += [(f"c{i}", i, None, None, None, 0, "A", False) for i in range(4)]
+    batch, seen = _counted(spark, rows, MIXED)
+    players = spark.createDataFrame([("1", "One", "A"), ("2", "Two", "B")], "account STRING, name STRING, team STRING")
+    out, state = f"{tmp_path}/out", f"{tmp_path}/state"
+    Detector(out, state, slices=2, players=lambda: players)(batch, 0)
+    assert seen.value == len(rows)
+    assert spark.read.parquet(f"{out}/quarantine").count() == 6
+    held = spark.read.parquet(f"{state}/held/batch_id=0").select("id").collect()
+    assert sorted(r["id"] for r in held) == sorted(f"m{i}" for i in range(1, 12, 2))
+
+
 def test_gate_computes_its_rows_once(spark):
     at = datetime(2024, 1, 1, 0, 0, 10)
     rows, seen = _counted(
