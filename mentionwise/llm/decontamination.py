@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from mentionwise.session import freeze
 
-# fixed value: what a word is made of, after lower-casing A-Z
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# fixed value: what a word is made of, after lower-casing A-Z: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
+# character by character: Java looks those up in a table, while it tests ranges one after the other
+WORD = "[^" + "".join(f"\\x{ord(c):02X}" for c in map(chr, range(128)) if c not in string.digits + string.ascii_lowercase) + "]+"
 # a counted side of at most so many rows of a few numbers is broadcast
 BROADCAST_ROWS = 1_000_000
 
