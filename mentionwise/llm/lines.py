@@ -1,15 +1,19 @@
-"""Line dedup by an exact set-similarity join: prefix, positional and length filters, then Jaccard.
+"""Line dedup by an exact set-similarity join on parts of the word sets, then Jaccard.
 
 A line is the set of its words (runs of anything but ASCII white space, A-Z
-lower-cased). Equal sets are one class, which stands at its first line. Words are
-ordered by rarity, counted over all classes in a table of ``COUNTERS`` counters and
-put on a scale of 16 bits (any order that is the same for all lines gives whole
-results; one near the true rarity gives short lists). Two sets of Jaccard similarity
-``threshold`` share a word of their prefixes, so classes meet in the lists of prefix
-words; a word whose counter is 1 can meet nothing. A line is removed if an earlier line of the corpus, removed
-or not, is similar enough. Lists of more than ``CELL`` classes are dealt out as cells
-of two blocks. Postings carry a 64-bit sketch of the set, by which most pairs go; a
-class first verifies its ``FIRST`` nearest candidates in its own block of a list, and
+lower-cased). Equal sets are one class, which stands at its first line. Two sets of
+Jaccard similarity ``threshold`` differ in few words, ``most_different`` of their sizes.
+So words are dealt by hash into more parts than that (``parts``; sets of an octave of
+sizes have the same number, and a set that may resemble one of the next octave is dealt
+there too): of m parts all but d are equal. Parts are ordered by the rarity of the words in
+them, as counted over all lines in a table of ``COUNTERS`` counters (any order that is the
+same for all lines gives whole results), and of a set its d + 1 rarest are kept as
+signatures: similar sets share one. Several words of a kind together are rare however long
+the corpus is, so most signatures stand alone and go at once; the others are lists.
+A line is removed if an earlier line of the corpus, removed or not, is similar enough.
+Lists of more than ``CELL`` classes are dealt out as cells of two blocks. Classes have a
+sketch of ``SKETCH`` bits of the set, by which pairs go that share little else; a class
+first verifies its ``FIRST`` nearest candidates in its own block of a list, and
 only classes that all of them fail are compared further and with other blocks, so a
 group of near copies is not all its pairs.
 
@@ -41,6 +45,12 @@ CELL = 8192
 FIRST = 4
 # postings a task compares at once, at least; a run is never split
 HELD = 30_000
+# bits of a set's sketch
+SKETCH = 256
+# slices of the counters, which are summed one by one
+COUNTER_SLICES = 64
+# signatures of a shard, about; and those a task holds before it passes them on
+SHARD, SENT = 1_000_000, 1_000_000
 # lines are split and hashed together up to so many characters; a longer line goes alone
 SLICE = 500_000
 # a counted side of at most so many classes of a few numbers is broadcast
@@ -112,38 +122,83 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def parts_of(texts: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int], list[int], list[str]]]:
+    """Lines of texts, about SLICE characters at once: the batch, and of each line its row, number and words."""
+    for batch in texts:
+        row, number, lines, held = [], [], [], 0
+        for r, text in enumerate(batch.column("text")):
+            of_text = (text.as_py() or "").split("\n")
+            row += [r] * len(of_text)
+            number += range(len(of_text))
+            lines += of_text
+            held += sum(map(len, of_text))
+            if held > SLICE:
+                yield batch, row, number, lines
+                row, number, lines, held = [], [], [], 0
+        if lines:
+            yield batch, row, number, lines
+
+
+def classes_of(lines: list[str]) -> tuple[np.ndarray, ...]:
+    """``used, class, size`` of the lines with words, and their words: numbers among ``used``, and hashes."""
+    of, words = word_sets(lines)
+    edges = np.searchsorted(of, np.arange(len(lines) + 1))
+    size = np.diff(edges)
+    used = np.flatnonzero(size)
+    cls = [xxhash.xxh64_intdigest(words[edges[k]:edges[k + 1]].tobytes()) for k in used]
+    return used, np.array(cls, np.uint64), size[used], np.repeat(np.arange(len(used)), size[used]), words
+
+
+def sketches(n: int, of: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """SKETCH bits of each of ``n`` sets, as rows of 64-bit numbers."""
+    bit = (words >> np.uint64(24)) % np.uint64(SKETCH)
+    out = np.zeros(n * (SKETCH // 64), np.uint64)
+    np.bitwise_or.at(out, of * (SKETCH // 64) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.reshape(n, SKETCH // 64)
+
+
 def cut(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, line, class, words`` of every line with words; ``words`` is the line."""
-    kind = docs.schema["doc_id"].dataType
+    """``doc_id, text_hash, line, class, size, sketch`` of every line with words.
 
-    def hashed(batch: pa.RecordBatch, row: list[int], number: list[int], lines: list[str]) -> pa.RecordBatch:
-        of, words = word_sets(lines)
-        edges = np.searchsorted(of, np.arange(len(lines) + 1))
-        used = np.flatnonzero(edges[1:] > edges[:-1])
-        cls = [xxhash.xxh64_intdigest(words[edges[k]:edges[k + 1]].tobytes()) for k in used]
-        taken = batch.select(["doc_id", "text_hash"]).take(pa.array(np.array(row, np.int64)[used]))
-        return pa.RecordBatch.from_arrays(
-            [*taken.columns, pa.array(np.array(number, np.int32)[used]), pa.array(np.array(cls, np.uint64).view(np.int64)),
-             pa.array([lines[k] for k in used], pa.string())], [*AT, "class", "words"],
-        )
+    Rows without a line hold a task's counts of words: ``slice``, and its used ``counters`` and their ``counts``.
+    """
+    kind = docs.schema["doc_id"].dataType
+    fields = [*AT, "class", "size", "sketch", "slice", "counters", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, number, lines, held = [], [], [], 0
-            for r, text in enumerate(batch.column("text")):
-                of_text = (text.as_py() or "").split("\n")
-                row += [r] * len(of_text)
-                number += range(len(of_text))
-                lines += of_text
-                held += sum(map(len, of_text))
-                if held > SLICE:
-                    yield hashed(batch, row, number, lines)
-                    row, number, lines, held = [], [], [], 0
-            if lines:
-                yield hashed(batch, row, number, lines)
+        sums, held, n_held, like = np.zeros(COUNTERS, np.int64), [], 0, None
+        for batch, row, number, lines in parts_of(batches):
+            like = batch.schema.field("doc_id").type
+            used, cls, size, of, words = classes_of(lines)
+            held.append((words & np.uint64(COUNTERS - 1)).astype(np.int64))
+            n_held += len(words)
+            if n_held > COUNTERS:
+                sums += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                held, n_held = [], 0
+            n = len(used)
+            taken = batch.select(["doc_id", "text_hash"]).take(pa.array(np.array(row, np.int64)[used]))
+            bits = sketches(n, of, words)
+            at = pa.array(np.arange(n + 1, dtype=np.int32) * bits.itemsize * bits.shape[1])
+            sketch = pa.Array.from_buffers(pa.binary(), n, [None, at.buffers()[1], pa.py_buffer(bits.tobytes())])
+            yield pa.RecordBatch.from_arrays(
+                [*taken.columns, pa.array(np.array(number, np.int32)[used]), pa.array(cls.view(np.int64)),
+                 pa.array(size.astype(np.int32)), sketch, pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 2], fields,
+            )
+        if like is None:
+            return
+        if held:
+            sums += np.bincount(np.concatenate(held), minlength=COUNTERS)
+        for k, part in enumerate(np.split(sums, COUNTER_SLICES)):
+            found = np.flatnonzero(part)
+            own = [pa.nulls(1, t) for t in (like, pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())]
+            counts = [pa.array([x.tobytes()], pa.binary()) for x in (found.astype(np.uint16), part[found].astype(np.uint32))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([k], pa.int32()), *counts], fields)
 
     read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return read.mapInArrow(run, f"doc_id {kind.simpleString()}, text_hash long, line int, class long, words string")
+    return read.mapInArrow(
+        run, f"doc_id {kind.simpleString()}, text_hash long, line int, class long, size int, sketch binary, "
+        "slice int, counters binary, counts binary",
+    )
 
 
 def order(prefix: str = ""):
@@ -152,22 +207,20 @@ def order(prefix: str = ""):
     return F.struct(doc_id.isNull().alias("unnamed"), doc_id.alias("doc_id"), text_hash.alias("text_hash"), line.alias("line"))
 
 
-def rarity(classes: DataFrame) -> np.ndarray:
+def rarity(counted: DataFrame) -> np.ndarray:
     """The level of the word occurrences on each counter; COUNTERS numbers, whatever the corpus."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for _, part in slices(batch.column("words").to_pylist()):
-                sums += np.bincount((word_sets(part)[1] & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        used = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums[used])], ["counter", "n"])
+    def add(part: pa.Table) -> pa.Table:
+        sums = np.zeros(COUNTERS // COUNTER_SLICES, np.int64)
+        for at, n in zip(part["counters"], part["counts"], strict=True):
+            sums[np.frombuffer(at.as_buffer(), np.uint16)] += np.frombuffer(n.as_buffer(), np.uint32)
+        return pa.table({"slice": part["slice"][:1], "levels": pa.array([levels(sums).tobytes()], pa.binary())})
 
-    rows = classes.select("words").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    found = rows.toArrow()
-    counts = np.zeros(COUNTERS, np.int64)
-    counts[found["counter"].to_numpy()] = found["n"].to_numpy()
-    return levels(counts)
+    rows = counted.select("slice", "counters", "counts").groupBy("slice").applyInArrow(add, "slice int, levels binary")
+    found = np.zeros((COUNTER_SLICES, COUNTERS // COUNTER_SLICES), np.uint16)
+    for row in rows.collect():
+        found[row["slice"]] = np.frombuffer(row["levels"], np.uint16)
+    return found.ravel()
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -180,43 +233,112 @@ def least_overlap(a, b, threshold: float):
     return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
 
 
-def postings(classes: DataFrame, rare: np.ndarray, threshold: float) -> DataFrame:
-    """``word, place, size, sketch``, the class and its place in the corpus, for each prefix word."""
+def octave(size: np.ndarray) -> np.ndarray:
+    """0 for sizes up to 7, then one more for each doubling."""
+    return np.maximum(np.frexp(size)[1].astype(np.int64) - 3, 0)
+
+
+def most_different(a, b, threshold: float):
+    """In how many words similar sets of these sizes may differ, of both together."""
+    return np.floor((1 - threshold) / (1 + threshold) * (a + b) + 1e-9).astype(np.int64)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * ODD
+    return x ^ (x >> np.uint64(29))
+
+
+def signatures(size: np.ndarray, of: np.ndarray, words: np.ndarray, rare: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The sets' numbers and signatures; ``words`` of the sets ``of``, sorted by both."""
+    own, found = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    largest = np.floor(size / threshold + 1e-9)
+    level = octave(size)
+    chosen = np.ones(len(size), bool)
+    while chosen.any():
+        last = 2 ** (level + 3) - 1
+        parts = np.ceil(1.5 * (most_different(last, last, threshold) + 1)).astype(np.uint64)
+        keep = most_different(size, np.minimum(last, largest), threshold) + 1
+        inside = chosen[of]
+        r, w = of[inside], words[inside]
+        # in the order of the hashes, so equal parts are next to each other
+        part = ((w >> np.uint64(32)) * parts[r]) >> np.uint64(32)
+        starts = np.flatnonzero(np.r_[True, (r[1:] != r[:-1]) | (part[1:] != part[:-1])])
+        total = np.add.reduceat(mixed(w), starts)
+        rarest = np.add.reduceat(0x10000 - rare[w & np.uint64(COUNTERS - 1)].astype(np.int64), starts)
+        r, part = r[starts], part[starts]
+        by = np.argsort(-rarest, kind="stable")
+        by = by[by_line(r[by])]
+        r, part, total = r[by], part[by], total[by]
+        n = np.bincount(r, minlength=len(size))
+        place = np.arange(len(r)) - (np.cumsum(n) - n)[r]
+        used = place < keep[r]
+        # few sets have fewer parts with words than they keep: empty ones come last, the first of them first
+        lacking = np.flatnonzero(chosen & (n < keep))
+        empty = [
+            np.setdiff1d(np.arange(min(int(parts[k]), int(keep[k] + n[k])), dtype=np.uint64), part[r == k])[:keep[k] - n[k]]
+            for k in lacking
+        ]
+        r = np.concatenate([r[used], np.repeat(lacking, [len(x) for x in empty]).astype(np.int64)])
+        part, total = np.concatenate([part[used], *empty]), np.r_[total[used], np.zeros(sum(map(len, empty)), np.uint64)]
+        own.append(r)
+        found.append(mixed(total + part * BYTES[1] + (level[r].astype(np.uint64) + np.uint64(1)) * BYTES[2]))
+        # a larger set of a later octave meets it there
+        level = level + 1
+        chosen = chosen & (largest >= 2 ** (level + 2))
+    return np.concatenate(own), np.concatenate(found)
+
+
+def postings(docs: DataFrame, rare: np.ndarray, threshold: float, shards: int) -> DataFrame:
+    """``sig, class`` of the signatures that several classes have."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> pa.RecordBatch:
+            sig, cls = (np.concatenate(x) for x in zip(*held, strict=True))
+            to = sig % np.uint64(shards)
+            by = np.argsort(to, kind="stable")
+            sig, cls, to = sig[by], cls[by], to[by]
+            starts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
+            packed = [pa.array([p.tobytes() for p in np.split(x, starts[1:])], pa.binary()) for x in (sig, cls)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(to[starts].astype(np.int32)), *packed], ["shard", "sigs", "classes"])
+
+        for _, _, _, lines in parts_of(batches):
+            _, cls, size, of, words = classes_of(list(dict.fromkeys(lines)))
+            if len(cls):
+                own, sig = signatures(size, of, words, rare, threshold)
+                held.append((sig, cls[own]))
+            if sum(len(x) for x, _ in held) > SENT:
+                yield flush()
+        if held:
+            yield flush()
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, part in slices(batch.column("words").to_pylist()):
-                row, words = word_sets(part)
-                first = np.searchsorted(row, np.arange(len(part)))
-                size = np.bincount(row, minlength=len(part))
-                # every class has a word, so no part of this is empty
-                sketch = np.bitwise_or.reduceat(np.uint64(1) << (words >> np.uint64(58)), first)
-                n = rare[words & np.uint64(COUNTERS - 1)]
-                # the words of a line stand by their hash, and keep that order within a level
-                by = np.argsort(n, kind="stable")
-                by = by[by_line(row[by])]
-                row, words, n = row[by], words[by], n[by]
-                place = np.arange(len(row)) - first[row]
-                prefix = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
-                used = (place < prefix[row]) & (n > 0)
-                row, words, place = row[used], words[used], place[used]
-                taken = batch.select(["class", *AT]).take(pa.array(row + start))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words.view(np.int64)), pa.array(place.astype(np.int32)), pa.array(size[row].astype(np.int32)),
-                     pa.array(sketch[row].view(np.int64)), *taken.columns],
-                    ["word", "place", "size", "sketch", "class", *AT],
-                )
-
-    kind = classes.schema["doc_id"].dataType.simpleString()
-    return classes.select("class", *AT, "words").mapInArrow(
-        index, f"word long, place int, size int, sketch long, class long, doc_id {kind}, text_hash long, line int"
-    )
+    def several(sig: np.ndarray) -> np.ndarray:
+        same = np.r_[False, sig[1:] == sig[:-1], False]
+        return (same[1:] | same[:-1])[:len(sig)]
+
+    def shared(part: pa.Table) -> pa.Table:
+        sig, cls = (np.frombuffer(b"".join(part[c].to_pylist()), np.int64) for c in ("sigs", "classes"))
+        by = np.argsort(sig)
+        # most signatures stand alone
+        by = by[several(sig[by])]
+        sig, cls = sig[by], cls[by]
+        by = np.lexsort((cls, sig))
+        sig, cls = sig[by], cls[by]
+        new = np.r_[True, (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])][:len(sig)]
+        sig, cls = sig[new], cls[new]
+        many = several(sig)
+        return pa.table({"sig": pa.array(sig[many]), "class": pa.array(cls[many])})
+
+    sent = docs.select("text").mapInArrow(send, "shard int, sigs binary, classes binary")
+    return sent.groupBy("shard").applyInArrow(shared, "sig long, class long")
 
 
 def long_lists(index: DataFrame) -> DataFrame:
-    """``word, blocks`` of the lists to be dealt out."""
-    sizes = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.where(F.col("n") > CELL).select("word", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
+    """``sig, blocks`` of the lists to be dealt out."""
+    sizes = index.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.where(F.col("n") > CELL).select("sig", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
 
 
 def cells(index: DataFrame, heavy: DataFrame, whole: bool) -> DataFrame:
@@ -224,7 +346,7 @@ def cells(index: DataFrame, heavy: DataFrame, whole: bool) -> DataFrame:
 
     Not ``whole``: the blocks of a heavy list by themselves, so that a posting stands in one cell only.
     """
-    dealt = index.join(small(heavy), "word", "left")
+    dealt = index.join(small(heavy), "sig", "left")
     block = F.coalesce(F.pmod(F.xxhash64("class"), F.col("blocks")), F.lit(0)).cast("int")
     dealt = dealt.withColumn("block", block)
     if not whole:
@@ -234,7 +356,7 @@ def cells(index: DataFrame, heavy: DataFrame, whole: bool) -> DataFrame:
     return dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
 
 
-def earlier_candidates(run, place, size, sketch, block, asked, threshold: float, skip: int, most: int | None):
+def earlier_candidates(run, size, sketch, block, asked, threshold: float, skip: int, most: int | None):
     """Pairs (``asked`` row, earlier row) that may be similar, and the rows with more than ``most`` left.
 
     Rows stand in runs, in corpus order within each; all runs are compared at once, at
@@ -246,18 +368,17 @@ def earlier_candidates(run, place, size, sketch, block, asked, threshold: float,
     # a run of one block is compared whole; in one of two blocks only across
     across = np.repeat(np.minimum.reduceat(block, starts) != np.maximum.reduceat(block, starts), lengths)
     skipped = np.where(across, 0, skip)
-    after = size - place
     seen = np.zeros(len(run), np.int64)
     rows, others, cut_off = ([np.empty(0, np.int64)] for _ in range(3))
     at, step = np.flatnonzero(asked), 1
     while len(at := at[at - step >= first[at]]):
         a, b = at, at - step
         need = least_overlap(size[a], size[b], threshold)
-        maybe = (np.minimum(after[a], after[b]) >= need) & (np.minimum(size[a], size[b]) >= need)
+        maybe = np.minimum(size[a], size[b]) >= need
         maybe &= ~across[a] | (block[a] != block[b])
         a, b, need = a[maybe], b[maybe], need[maybe]
-        fits = size[a] - np.bitwise_count(sketch[a] & ~sketch[b]) >= need
-        fits &= size[b] - np.bitwise_count(sketch[b] & ~sketch[a]) >= need
+        fits = size[a] - np.bitwise_count(sketch[a] & ~sketch[b]).sum(axis=1, dtype=np.int64) >= need
+        fits &= size[b] - np.bitwise_count(sketch[b] & ~sketch[a]).sum(axis=1, dtype=np.int64) >= need
         a, b = a[fits], b[fits]
         seen[a] += 1
         taken = seen[a] > skipped[a]
@@ -274,7 +395,7 @@ def earlier_candidates(run, place, size, sketch, block, asked, threshold: float,
 
 def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int, most: int | None, whole: bool) -> DataFrame:
     """Classes ``a``, open, and an earlier ``b``; ``more`` (b null): ``a`` has further ones."""
-    key = ["word", "i", "j"]
+    key = ["sig", "i", "j"]
     ordered = cells(index, heavy, whole).repartition(*key).sortWithinPartitions(*key, order())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,9 +406,10 @@ def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int,
         def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
             if len(table) < 2:
                 return
-            place, size, sketch, block = (table[c].to_numpy() for c in ("place", "size", "sketch", "block"))
+            size, block = (table[c].to_numpy() for c in ("size", "block"))
+            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(size), -1)
             rows, others, cut_off = earlier_candidates(
-                runs(table), place, size, sketch.view(np.uint64), block, table["open"].to_numpy(), threshold, skip, most
+                runs(table), size, sketch, block, table["open"].to_numpy(), threshold, skip, most
             )
             if len(rows) or len(cut_off):
                 cls = table["class"].to_numpy()
@@ -314,7 +436,16 @@ def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int,
     return ordered.mapInArrow(compare, "a long, b long, more boolean").distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+def line_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``class, words``: the line that stands at the place of each class."""
+    split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
+    lines = split.select("doc_id", "text_hash", F.posexplode("lines").alias("line", "words")).alias("l")
+    at = [F.col(f"l.{c}").eqNullSafe(F.col(f"p.{c}")) for c in AT]
+    # rows of equal doc_id and text hold the line again
+    return lines.join(small(places.select("class", *AT)).alias("p"), at).select("class", "words").dropDuplicates(["class"])
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """``class``: ``a`` of the pairs whose lines have the similarity. Only lines of a pair are shuffled."""
 
     @arrow_udf("boolean")
@@ -334,19 +465,25 @@ def verified(pairs: DataFrame, classes: DataFrame, threshold: float, scratch: Sc
         return pa.array(np.concatenate(out), pa.bool_())
 
     ends = scratch.write(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "line-ends")
-    texts = classes.select("class", "words").join(small(ends), "class", "left_semi")
+    places = scratch.write(classes.select("class", *AT).join(small(ends), "class", "left_semi"), "line-ends")
+    texts = scratch.write(line_texts(docs, places), "line-texts")
     met = pairs.join(texts.toDF("a", "p"), "a").join(texts.toDF("b", "q"), "b")
     return met.where(similar("p", "q")).select(F.col("a").alias("class")).distinct()
 
 
-def matched(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+def matched(docs: DataFrame, lines: DataFrame, classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """``class``: those of which an earlier one is similar enough."""
-    index = scratch.write(postings(classes, rarity(classes), threshold), "line-postings")
+    rare = rarity(lines.where("slice is not null"))
+    n, words = lines.agg(F.count("line"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    # a set has about a signature for each four of its words, and some a second set of them
+    met = scratch.write(postings(docs, rare, threshold, int((n + words / 3) // SHARD) + 1), "line-signatures")
+    index = scratch.write(met.join(classes.drop("n"), "class"), "line-postings")
+    scratch.drop(met)
     heavy = scratch.write(long_lists(index), "line-lists")
     pairs = scratch.write(candidates(index.withColumn("open", F.lit(True)), heavy, threshold, 0, FIRST, False), "line-candidates")
-    found = scratch.write(verified(pairs.where("not more").drop("more"), classes, threshold, scratch), "line-matches")
+    found = scratch.write(verified(pairs.where("not more").drop("more"), classes, docs, threshold, scratch), "line-matches")
     # a class of a dealt list has met its own block only
-    dealt = index.join(small(heavy), "word", "left_semi").select("class")
+    dealt = index.join(small(heavy), "sig", "left_semi").select("class")
     left = pairs.where("more").select(F.col("a").alias("class")).union(dealt).distinct().join(found, "class", "left_anti")
     left = scratch.write(left, "line-undecided")
     scratch.drop(pairs)
@@ -354,7 +491,7 @@ def matched(classes: DataFrame, threshold: float, scratch: Scratch) -> DataFrame
         marked = index.join(small(left.withColumn("open", F.lit(True))), "class", "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
         rest = scratch.write(candidates(marked, heavy, threshold, FIRST, None, True), "line-candidates")
-        more = scratch.write(verified(rest.drop("more"), classes, threshold, scratch), "line-matches")
+        more = scratch.write(verified(rest.drop("more"), classes, docs, threshold, scratch), "line-matches")
         scratch.drop(rest)
         found = found.union(more)
     scratch.drop(index, heavy)
@@ -366,18 +503,20 @@ def removed_lines(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
     scratch = Scratch(docs.sparkSession)
-    lines = cut(docs)
-    first = F.min(F.struct(order().alias("at"), "words")).alias("first")
+    written = scratch.write(cut(docs), "line-places")
+    lines = written.where("slice is null")
+    first = F.min(F.struct(order().alias("at"), "size", "sketch")).alias("first")
     classes = lines.groupBy("class").agg(first, F.count(F.lit(1)).alias("n"))
-    classes = scratch.write(classes.select("class", "n", *[f"first.at.{c}" for c in AT], "first.words"), "line-classes")
-    later = scratch.write(matched(classes, threshold, scratch).withColumn("later", F.lit(True)), "line-later")
-    facts = classes.drop("words").join(later, "class", "left")
+    classes = classes.select("class", "n", *[f"first.at.{c}" for c in AT], "first.size", "first.sketch")
+    classes = scratch.write(classes, "line-classes")
+    later = scratch.write(matched(docs, written, classes, threshold, scratch).withColumn("later", F.lit(True)), "line-later")
+    facts = classes.drop("size", "sketch").join(later, "class", "left")
     # a class of one line without a match removes nothing
     facts = facts.where("n > 1 or later").select("class", "n", order().alias("first"), "later")
     facts = scratch.write(facts, "line-facts")
     total = classes.agg(F.sum("n")).first()[0] or 0
     scratch.drop(classes)
-    marked = join_counted(lines.drop("words"), facts, "class", "n", total)
+    marked = join_counted(lines.select(*AT, "class"), facts, "class", "n", total)
     gone = marked.where(F.col("later") | (order() > F.col("first")))
     return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("removed"))
 

@@ -144,3 +144,43 @@ def test_word_sets_equal_plain_sets():
 def test_levels_keep_the_order_of_counts():
     found = lines.levels(np.array([0, 1, 2, 3, 100, 101, 1 << 50])).tolist()
     assert found[:2] == [0, 0] and 0 < found[2] < found[3] < found[4] < found[5] < found[6]
+
+
+def test_line_dedup_verifies_few_pairs_of_long_unlike_lines(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in rng.choice(3000, 150, replace=False)) for _ in range(400)]
+    # a near copy of each eighth line, at the end
+    texts += [x + " more" for x in texts[::8]]
+    real, asked = lines.verified, []
+
+    def counted(pairs, *rest):
+        asked.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(lines, "verified", counted)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = sorted(r["doc_id"] for r in lines.remove_repeated(table).where("__n_removed > 0").collect())
+    assert gone == list(range(400, 450))
+    assert sum(asked) <= len(texts)
+
+
+def test_similar_sets_share_a_signature():
+    rng = np.random.default_rng(4)
+    rare = rng.integers(0, 0xFFFF, lines.COUNTERS).astype(np.uint16)
+    for threshold in (0.4, 0.8, 1.0):
+        for _ in range(200):
+            n = int(rng.choice([1, 2, 4, 5, 7, 8, 15, 16, 30, 33, 60, 64, 130]))
+            first = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            second = first.copy()
+            keep = int(rng.integers(int(np.ceil(threshold * n - 1e-9)), n + 1))
+            second = second[:keep]
+            while rng.random() < 0.7:
+                grown = np.append(second, rng.integers(0, 1 << 63, dtype=np.uint64))
+                if keep / (n + len(grown) - keep) < threshold:
+                    break
+                second = grown
+            assert keep / (n + len(second) - keep) >= threshold - 1e-9
+            sets = [np.sort(first), np.sort(second)]
+            size = np.array(list(map(len, sets)))
+            own, sig = lines.signatures(size, np.repeat([0, 1], size), np.concatenate(sets), rare, threshold)
+            assert set(sig[own == 0].tolist()) & set(sig[own == 1].tolist())
