@@ -51,6 +51,10 @@ SKETCH = 256
 COUNTER_SLICES = 64
 # signatures of a shard, about; and those a task holds before it passes them on
 SHARD, SENT = 1_000_000, 1_000_000
+# in lists up to this length a class stays only if a short sketch and size fit another one's
+CLOSE = 64
+# sizes from here on are not sent
+NO_SIZE = 255
 # lines are split and hashed together up to so many characters; a longer line goes alone
 SLICE = 500_000
 # a counted side of at most so many classes of a few numbers is broadcast
@@ -256,7 +260,7 @@ def signatures(size: np.ndarray, of: np.ndarray, words: np.ndarray, rare: np.nda
     chosen = np.ones(len(size), bool)
     while chosen.any():
         last = 2 ** (level + 3) - 1
-        parts = np.ceil(1.5 * (most_different(last, last, threshold) + 1)).astype(np.uint64)
+        parts = np.ceil(1.2 * (most_different(last, last, threshold) + 1)).astype(np.uint64)
         keep = most_different(size, np.minimum(last, largest), threshold) + 1
         inside = chosen[of]
         r, w = of[inside], words[inside]
@@ -288,28 +292,53 @@ def signatures(size: np.ndarray, of: np.ndarray, words: np.ndarray, rare: np.nda
     return np.concatenate(own), np.concatenate(found)
 
 
+def near_another(sig: np.ndarray, size: np.ndarray, sketch: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the classes, sorted by ``sig``, may resemble another one of their list; all of a list over CLOSE."""
+    starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]][:len(sig)])
+    lengths = np.diff(np.r_[starts, len(sig)])
+    first = np.repeat(starts, lengths)
+    near = np.repeat(lengths > CLOSE, lengths)
+    size = size.astype(np.int64)
+    at, step = np.flatnonzero(~near), 1
+    while len(at := at[at - step >= first[at]]):
+        a, b = at, at - step
+        need = least_overlap(size[a], size[b], threshold)
+        fits = size[a] - np.bitwise_count(sketch[a] & ~sketch[b]) >= need
+        fits &= size[b] - np.bitwise_count(sketch[b] & ~sketch[a]) >= need
+        fits |= (size[a] == NO_SIZE) | (size[b] == NO_SIZE)
+        near[a[fits]] = near[b[fits]] = True
+        step += 1
+    return near
+
+
 def postings(docs: DataFrame, rare: np.ndarray, threshold: float, shards: int) -> DataFrame:
-    """``sig, class`` of the signatures that several classes have."""
+    """``sig, class`` of the signatures that several classes have which may be similar."""
+    # within a shard 32 bits of a signature do: lists that fall together only give more candidates
+    kinds = {"sigs": np.uint32, "classes": np.int64, "sizes": np.uint8, "sketches": np.uint64}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            sig, cls = (np.concatenate(x) for x in zip(*held, strict=True))
-            to = sig % np.uint64(shards)
+            sig, *rest = (np.concatenate(x) for x in zip(*held, strict=True))
+            to = (sig >> np.uint64(32)) % np.uint64(shards)
             by = np.argsort(to, kind="stable")
-            sig, cls, to = sig[by], cls[by], to[by]
+            to = to[by]
             starts = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
-            packed = [pa.array([p.tobytes() for p in np.split(x, starts[1:])], pa.binary()) for x in (sig, cls)]
+            packed = [
+                pa.array([p.tobytes() for p in np.split(x[by].astype(k), starts[1:])], pa.binary())
+                for x, k in zip((sig & np.uint64(0xFFFFFFFF), *rest), kinds.values(), strict=True)
+            ]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(to[starts].astype(np.int32)), *packed], ["shard", "sigs", "classes"])
+            return pa.RecordBatch.from_arrays([pa.array(to[starts].astype(np.int32)), *packed], ["shard", *kinds])
 
         for _, _, _, lines in parts_of(batches):
             _, cls, size, of, words = classes_of(list(dict.fromkeys(lines)))
             if len(cls):
                 own, sig = signatures(size, of, words, rare, threshold)
-                held.append((sig, cls[own]))
-            if sum(len(x) for x, _ in held) > SENT:
+                short = np.bitwise_or.reduceat(np.uint64(1) << (words >> np.uint64(58)), np.cumsum(size) - size)
+                held.append((sig, cls.view(np.int64)[own], np.minimum(size, NO_SIZE)[own], short[own]))
+            if sum(len(x[0]) for x in held) > SENT:
                 yield flush()
         if held:
             yield flush()
@@ -319,19 +348,20 @@ def postings(docs: DataFrame, rare: np.ndarray, threshold: float, shards: int) -
         return (same[1:] | same[:-1])[:len(sig)]
 
     def shared(part: pa.Table) -> pa.Table:
-        sig, cls = (np.frombuffer(b"".join(part[c].to_pylist()), np.int64) for c in ("sigs", "classes"))
+        sig, *rest = (np.frombuffer(b"".join(part[c].to_pylist()), k) for c, k in kinds.items())
         by = np.argsort(sig)
         # most signatures stand alone
         by = by[several(sig[by])]
-        sig, cls = sig[by], cls[by]
-        by = np.lexsort((cls, sig))
-        sig, cls = sig[by], cls[by]
-        new = np.r_[True, (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])][:len(sig)]
-        sig, cls = sig[new], cls[new]
-        many = several(sig)
-        return pa.table({"sig": pa.array(sig[many]), "class": pa.array(cls[many])})
-
-    sent = docs.select("text").mapInArrow(send, "shard int, sigs binary, classes binary")
+        by = by[np.lexsort((rest[0][by], sig[by]))]
+        s, cls = sig[by], rest[0][by]
+        by = by[np.r_[True, (s[1:] != s[:-1]) | (cls[1:] != cls[:-1])][:len(by)]]
+        by = by[several(sig[by])]
+        sig, cls, size, sketch = (x[by] for x in (sig, *rest))
+        near = near_another(sig, size, sketch, threshold)
+        whole = (np.int64(part["shard"][0].as_py()) << np.int64(32)) | sig[near].astype(np.int64)
+        return pa.table({"sig": pa.array(whole), "class": pa.array(cls[near])})
+
+    sent = docs.select("text").mapInArrow(send, "shard int, sigs binary, classes binary, sizes binary, sketches binary")
     return sent.groupBy("shard").applyInArrow(shared, "sig long, class long")
 
 
