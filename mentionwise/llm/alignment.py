@@ -53,15 +53,15 @@ from mentionwise.llm.scratch import Scratch
 BLOCK_PAIRS = 400_000
 # texts are handled in slices of about so many characters
 SLICE_CHARS = 4_000_000
-# words that occur again are kept for later slices, up to about so many
-WORDS_KEPT = 150_000
+# words are kept for later slices, up to so many
+WORDS_KEPT = 120_000
 # words of up to so many characters go through the libraries together, so many characters at once
 SHORT_WORD, JOINED_CHARS = 64, 100_000
 # a group with more links than this is paired by distinct ids
 PAIRED_AT_ONCE = 4096
 
 # a space at which a text is not cut: letters, digits and ASCII signs before one are no white space to either library
-UNCUT_SPACE = re.compile(r"(?:^|[^!-~\w]) | $").search
+UNCUT_SPACE = re.compile(r" (?:(?<![!-~\w] )|$)").search
 
 SPANS = "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>, cuts array<int>"
 LINKED = (
@@ -423,10 +423,8 @@ class Documents:
         table = self.known.followed_by(self.model.table(words[held:], self.at_once))
         yield from map(table.document, cut)
         times = np.bincount(np.concatenate(cut), minlength=len(words))
-        again = times > 1
-        kept = np.flatnonzero(again | (np.arange(len(words)) < held))
-        if len(kept) > self.words_kept:
-            kept = np.flatnonzero(again)[:self.words_kept]
+        # words that came again go first, then those known for longest
+        kept = np.sort(np.argsort(times < 2, kind="stable")[:self.words_kept])
         self.known = table.chosen(kept)
         self.index = {words[i]: k for k, i in enumerate(kept.tolist())}
 
