@@ -63,6 +63,7 @@ PAIRED_AT_ONCE = 4096
 # a space at which a text is not cut: letters, digits and ASCII signs before one are no white space to either library
 UNCUT_SPACE = re.compile(r" (?:(?<![!-~\w] )|$)").search
 
+MARKS = np.frombuffer(b",|;\n", np.uint8)
 SPANS = "a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>, cuts array<int>"
 LINKED = (
     "n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -330,7 +331,22 @@ def groups_text(
     marks[at_b[ends]] = 2
     if last is not None:
         marks[at_b[ends[last]]] = 3
-    return "".join(chain.from_iterable(zip(map(str, ids.tolist()), map(",|;\n".__getitem__, marks.tolist()))))[:-1]
+    return decimals(ids, MARKS[marks])[:-1]
+
+
+def decimals(ids: np.ndarray, marks: np.ndarray) -> str:
+    """Each id in decimal with its mark behind it; digits of all ids at once, leading zeros left out."""
+    width = len(str(int(ids.max(initial=0))))
+    out = np.empty((len(ids), width + 1), np.uint8)
+    out[:, width] = marks
+    left = ids.astype(np.uint32)
+    for k in range(width - 1, -1, -1):
+        rest = left // 10
+        out[:, k] = left - rest * 10 + ord("0")
+        if k < width - 1:
+            out[left == 0, k] = 0
+        left = rest
+    return out[out > 0].tobytes().decode("ascii")
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
