@@ -14,8 +14,6 @@ treats them as ordinary text. Ids that the vocabulary lacks decode to nothing.
 
 from __future__ import annotations
 
-import ctypes
-import gc
 import heapq
 import json
 import re
@@ -31,6 +29,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from mentionwise.llm.memory import give_back
+
 # texts are pre-tokenised in slices of about so many characters, whatever the Arrow batch holds
 SLICE_CHARS = 1_000_000
 # words kept with their tokens in each Python worker; beyond, the table starts anew
@@ -329,15 +329,6 @@ def slices(texts: list[str | None]) -> Iterable[list[str | None]]:
 _encoders: dict[str, Encoder] = {}
 
 
-def give_back() -> None:
-    """Hand what earlier work in this process has freed back to the system; a worker outlives its stage."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def encoder(path: str, kept: int = WORDS_KEPT) -> Encoder:
     """One encoder for each vocabulary file and Python worker; ``kept``: words it holds from now on."""
     if path not in _encoders:

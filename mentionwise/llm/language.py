@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from mentionwise.llm.memory import tidy
 from mentionwise.session import freeze
 
 MIN_RATE = 1e-5
@@ -111,7 +112,7 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
         if sums:
             yield flush()
 
-    rows = docs.select("text", "lang").mapInArrow(count, "lang string, gram long, n long")
+    rows = docs.select("text", "lang").mapInArrow(tidy(count), "lang string, gram long, n long")
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 

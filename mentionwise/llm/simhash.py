@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from mentionwise.llm.components import connected_components, join_counted
+from mentionwise.llm.memory import tidy
 from mentionwise.session import freeze
 
 BYTES = 8
@@ -186,7 +187,7 @@ def links(fingerprints: DataFrame, max_bits: int = 3) -> DataFrame:
         if held is not None:
             yield flush(held, len(held[0]))
 
-    return sorted_cells.mapInArrow(compare, "a long, b long")
+    return sorted_cells.mapInArrow(tidy(compare), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
