@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from mentionwise.llm.components import join_counted
+from mentionwise.llm.memory import release, tidy
 from mentionwise.llm.scratch import Scratch
 
 COUNTERS = 1 << 20
@@ -44,13 +45,13 @@ CELL = 8192
 # candidates of a class in a cell that are verified before the rest
 FIRST = 4
 # postings a task compares at once, at least; a run is never split
-HELD = 30_000
+HELD = 100_000
 # bits of a set's sketch
 SKETCH = 256
 # slices of the counters, which are summed one by one
 COUNTER_SLICES = 64
 # signatures of a shard, about; and those a task holds before it passes them on
-SHARD, SENT = 1_000_000, 1_000_000
+SHARD, SENT = 300_000, 500_000
 # in lists up to this length a class stays only if a short sketch and size fit another one's
 CLOSE = 64
 # sizes from here on are not sent
@@ -200,7 +201,7 @@ def cut(docs: DataFrame) -> DataFrame:
 
     read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return read.mapInArrow(
-        run, f"doc_id {kind.simpleString()}, text_hash long, line int, class long, size int, sketch binary, "
+        tidy(run), f"doc_id {kind.simpleString()}, text_hash long, line int, class long, size int, sketch binary, "
         "slice int, counters binary, counts binary",
     )
 
@@ -312,7 +313,7 @@ def near_another(sig: np.ndarray, size: np.ndarray, sketch: np.ndarray, threshol
 
 
 def postings(docs: DataFrame, rare: np.ndarray, threshold: float, shards: int) -> DataFrame:
-    """``sig, class`` of the signatures that several classes have which may be similar."""
+    """``sig, class`` of the signatures that several classes have which may be similar; ``n``: how many have this one."""
     # within a shard 32 bits of a signature do: lists that fall together only give more candidates
     kinds = {"sigs": np.uint32, "classes": np.int64, "sizes": np.uint8, "sketches": np.uint64}
 
@@ -359,30 +360,26 @@ def postings(docs: DataFrame, rare: np.ndarray, threshold: float, shards: int) -
         sig, cls, size, sketch = (x[by] for x in (sig, *rest))
         near = near_another(sig, size, sketch, threshold)
         whole = (np.int64(part["shard"][0].as_py()) << np.int64(32)) | sig[near].astype(np.int64)
-        return pa.table({"sig": pa.array(whole), "class": pa.array(cls[near])})
+        n = np.bincount(found := np.cumsum(np.r_[True, sig[1:] != sig[:-1]][:len(sig)]))[found].astype(np.int32)
+        out = pa.table({"sig": pa.array(whole), "class": pa.array(cls[near]), "n": pa.array(n[near])})
+        release()
+        return out
 
-    sent = docs.select("text").mapInArrow(send, "shard int, sigs binary, classes binary, sizes binary, sketches binary")
-    return sent.groupBy("shard").applyInArrow(shared, "sig long, class long")
+    sent = docs.select("text").mapInArrow(tidy(send), "shard int, sigs binary, classes binary, sizes binary, sketches binary")
+    return sent.groupBy("shard").applyInArrow(shared, "sig long, class long, n int")
 
 
-def long_lists(index: DataFrame) -> DataFrame:
-    """``sig, blocks`` of the lists to be dealt out."""
-    sizes = index.groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.where(F.col("n") > CELL).select("sig", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
+def cells(index: DataFrame, whole: bool) -> DataFrame:
+    """Postings with ``i, j, block``: lists of more than CELL as all pairs of blocks, the rest as one cell.
 
-
-def cells(index: DataFrame, heavy: DataFrame, whole: bool) -> DataFrame:
-    """Postings with ``i, j, block``: the ``heavy`` lists as all pairs of blocks, the rest as one cell.
-
-    Not ``whole``: the blocks of a heavy list by themselves, so that a posting stands in one cell only.
+    Not ``whole``: the blocks of a long list by themselves, so that a posting stands in one cell only.
     """
-    dealt = index.join(small(heavy), "sig", "left")
-    block = F.coalesce(F.pmod(F.xxhash64("class"), F.col("blocks")), F.lit(0)).cast("int")
-    dealt = dealt.withColumn("block", block)
+    blocks = F.ceil(F.col("n") / CELL)
+    dealt = index.withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
     if not whole:
-        return dealt.drop("blocks").select("*", F.col("block").alias("i"), F.col("block").alias("j"))
-    other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
-    dealt = dealt.withColumn("other", other).drop("blocks")
+        return dealt.drop("n").select("*", F.col("block").alias("i"), F.col("block").alias("j"))
+    other = F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1))
+    dealt = dealt.withColumn("other", other).drop("n")
     return dealt.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).drop("other")
 
 
@@ -423,10 +420,10 @@ def earlier_candidates(run, size, sketch, block, asked, threshold: float, skip:
     return np.concatenate(rows), np.concatenate(others), np.concatenate(cut_off)
 
 
-def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int, most: int | None, whole: bool) -> DataFrame:
+def candidates(index: DataFrame, threshold: float, skip: int, most: int | None, whole: bool) -> DataFrame:
     """Classes ``a``, open, and an earlier ``b``; ``more`` (b null): ``a`` has further ones."""
     key = ["sig", "i", "j"]
-    ordered = cells(index, heavy, whole).repartition(*key).sortWithinPartitions(*key, order())
+    ordered = cells(index, whole).repartition(*key).sortWithinPartitions(*key, order())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs(table: pa.Table) -> np.ndarray:
@@ -463,16 +460,20 @@ def candidates(index: DataFrame, heavy: DataFrame, threshold: float, skip: int,
         if held:
             yield from flush(pa.Table.from_batches(held).combine_chunks())
 
-    return ordered.mapInArrow(compare, "a long, b long, more boolean").distinct()
+    return ordered.mapInArrow(tidy(compare), "a long, b long, more boolean").distinct()
 
 
 def line_texts(docs: DataFrame, places: DataFrame) -> DataFrame:
     """``class, words``: the line that stands at the place of each class."""
-    split = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
-    lines = split.select("doc_id", "text_hash", F.posexplode("lines").alias("line", "words")).alias("l")
-    at = [F.col(f"l.{c}").eqNullSafe(F.col(f"p.{c}")) for c in AT]
+    read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").alias("d")
+    at = [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in AT[:2]]
+    asked = places.groupBy(*AT[:2]).agg(F.collect_list(F.struct("class", "line")).alias("asked"))
+    asked = F.broadcast(asked) if places.count() <= BROADCAST_ROWS else asked
+    met = read.join(asked.alias("p"), at).select("asked", F.split("text", "\n").alias("lines"))
+    found = F.transform("asked", lambda x: F.struct(x["class"].alias("class"), F.get("lines", x["line"]).alias("words")))
+    words = met.select(F.inline(found))
     # rows of equal doc_id and text hold the line again
-    return lines.join(small(places.select("class", *AT)).alias("p"), at).select("class", "words").dropDuplicates(["class"])
+    return words.dropDuplicates(["class"])
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
@@ -509,22 +510,24 @@ def matched(docs: DataFrame, lines: DataFrame, classes: DataFrame, threshold: fl
     met = scratch.write(postings(docs, rare, threshold, int((n + words / 3) // SHARD) + 1), "line-signatures")
     index = scratch.write(met.join(classes.drop("n"), "class"), "line-postings")
     scratch.drop(met)
-    heavy = scratch.write(long_lists(index), "line-lists")
-    pairs = scratch.write(candidates(index.withColumn("open", F.lit(True)), heavy, threshold, 0, FIRST, False), "line-candidates")
+    pairs = scratch.write(candidates(index.withColumn("open", F.lit(True)), threshold, 0, FIRST, False), "line-candidates")
     found = scratch.write(verified(pairs.where("not more").drop("more"), classes, docs, threshold, scratch), "line-matches")
     # a class of a dealt list has met its own block only
-    dealt = index.join(small(heavy), "sig", "left_semi").select("class")
+    dealt = index.where(F.col("n") > CELL).select("class")
     left = pairs.where("more").select(F.col("a").alias("class")).union(dealt).distinct().join(found, "class", "left_anti")
     left = scratch.write(left, "line-undecided")
     scratch.drop(pairs)
     if not left.isEmpty():
-        marked = index.join(small(left.withColumn("open", F.lit(True))), "class", "left")
+        # only lists with an undecided class are compared again
+        lists = scratch.write(index.join(small(left), "class", "left_semi").select("sig").distinct(), "line-lists")
+        again = index.join(small(lists), "sig", "left_semi")
+        marked = again.join(small(left.withColumn("open", F.lit(True))), "class", "left")
         marked = marked.withColumn("open", F.coalesce("open", F.lit(False)))
-        rest = scratch.write(candidates(marked, heavy, threshold, FIRST, None, True), "line-candidates")
+        rest = scratch.write(candidates(marked, threshold, FIRST, None, True), "line-candidates")
         more = scratch.write(verified(rest.drop("more"), classes, docs, threshold, scratch), "line-matches")
-        scratch.drop(rest)
+        scratch.drop(rest, lists)
         found = found.union(more)
-    scratch.drop(index, heavy)
+    scratch.drop(index)
     return found
 
 
@@ -560,7 +563,8 @@ def remove_repeated(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         F.transform(F.split("d.text", "\n"), lambda x, i: F.when(~F.array_contains("g.removed", i), x)),
         lambda x: x.isNotNull(),
     )
-    joined = read.join(gone, same, "left").withColumn("__n_removed", F.coalesce(F.size("g.removed"), F.lit(0)))
+    # the side with the texts need not be sorted
+    joined = read.join(gone.hint("shuffle_hash"), same, "left").withColumn("__n_removed", F.coalesce(F.size("g.removed"), F.lit(0)))
     text = F.when(F.col("g.removed").isNull(), F.col("d.text")).otherwise(F.array_join(kept, "\n"))
     columns = [text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
     return joined.select(*columns, F.greatest("__n_removed", F.lit(0)).alias("__n_removed"))
